@@ -1,0 +1 @@
+"""Incremental loading of order lines with Structured Streaming."""
