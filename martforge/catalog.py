@@ -68,6 +68,13 @@ def published_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         return wh
 
 
+def use_warehouse(spark: SparkSession, sf_dir: str, wh: Warehouse) -> None:
+    """Serve report queries for ``sf_dir`` from an already built version."""
+    sf_dir = sf_dir.rstrip("/")
+    with _LOCK:
+        _MEMO[(spark.sparkContext.applicationId, sf_dir, source_fingerprint(spark, sf_dir))] = wh
+
+
 # --- operator queries ------------------------------------------------------------
 
 def _stg(spark, sf_dir) -> Staging:

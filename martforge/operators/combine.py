@@ -15,19 +15,16 @@ _SIDE = "_mf_side"
 
 def side_by_side(frames: list[DataFrame]) -> DataFrame:
     """Columns of all one-row ``frames`` in one row (column names must differ)."""
-    names = [c for f in frames for c in f.columns]
+    schemas = [f.schema for f in frames]
+    fields = [fld for sch in schemas for fld in sch.fields]
+    names = [fld.name for fld in fields]
     assert len(names) == len(set(names)), names
-    tagged = []
+    types = {fld.name: fld.dataType.simpleString() for fld in fields}
+    owner = {fld.name: i for i, sch in enumerate(schemas) for fld in sch.fields}
+    union = None
     for i, f in enumerate(frames):
-        cols = [F.lit(i).alias(_SIDE)]
-        for n in names:
-            src = f.schema[n].dataType if n in f.columns else None
-            cols.append(F.col(n).alias(n) if src is not None else F.lit(None).alias(n))
-        tagged.append(f.select(*cols))
-    types = {n: f.schema[n].dataType for f in frames for n in f.columns}
-    typed = [t.select(_SIDE, *[F.col(n).cast(types[n]).alias(n) for n in names]) for t in tagged]
-    union = typed[0]
-    for t in typed[1:]:
-        union = union.unionByName(t)
-    owner = {n: i for i, f in enumerate(frames) for n in f.columns}
-    return union.agg(*[F.max(F.when(F.col(_SIDE) == owner[n], F.col(n))).alias(n) for n in names])
+        cols = [f"{i} AS {_SIDE}"]
+        cols += [f"CAST({'`' + n + '`' if owner[n] == i else 'NULL'} AS {types[n]}) AS `{n}`" for n in names]
+        tagged = f.selectExpr(*cols)
+        union = tagged if union is None else union.union(tagged)
+    return union.selectExpr(*[f"max(CASE WHEN {_SIDE} = {owner[n]} THEN `{n}` END) AS `{n}`" for n in names])

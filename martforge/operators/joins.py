@@ -56,3 +56,18 @@ def duplicate_keys(df: DataFrame, key_cols: list[str], alias: str = "actual") ->
     """Number of key values held by more than one row (NULL is one value)."""
     dup = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     return count_rows(dup, alias)
+
+
+def with_match(child: DataFrame, parent: DataFrame, child_key: str, flag: str,
+               parent_key: str | None = None) -> DataFrame:
+    """``child`` plus boolean ``flag``: does its key exist in ``parent``?
+
+    A left join against the parent's DISTINCT keys, so child rows never fan
+    out; NULL child keys get False. Several flags on one child let every
+    orphan check of that table share a single scan of it.
+    """
+    pk = parent_key or child_key
+    alias = f"_mf_k_{flag}"
+    keys = parent.select(F.col(pk).alias(alias)).distinct().withColumn(flag, F.lit(True))
+    joined = child.join(keys, F.col(child_key) == F.col(alias), "left").drop(alias)
+    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

@@ -26,7 +26,7 @@ from martforge.functions.expr import abs_diff, any_null, calendar_key, line_amou
 from martforge.functions.expr import UNKNOWN_CITY
 from martforge.operators.calendar import day_series
 from martforge.operators.combine import side_by_side
-from martforge.operators.joins import count_rows, duplicate_keys, orphans
+from martforge.operators.joins import count_rows, duplicate_keys, orphans, with_match
 from martforge.schemas import REQUIRED, TOTAL
 
 Tables = dict[str, DataFrame]
@@ -42,6 +42,8 @@ class Check:
     frame: Callable[[Tables], DataFrame] | None = None  # one row: actual [, expected]
     money: bool = False                       # value is an amount, not a count
     expected: int | None = None               # configured expectation
+    column: str = "actual"                    # frame column holding the value
+    expected_column: str | None = None        # frame column holding a measured expectation
 
 
 @dataclass
@@ -56,10 +58,6 @@ def _dup(table: str, keys: list[str]):
     return lambda t: duplicate_keys(t[table], keys)
 
 
-def _orphans(child: str, parent: str, ck: str, pk: str | None = None):
-    return lambda t: count_rows(orphans(t[child], t[parent], ck, pk))
-
-
 def _order_before_signup(t: Tables) -> DataFrame:
     o, c = t["stg_orders"], t["stg_customers"]
     j = (o.select("customer_id", "order_date")
@@ -82,52 +80,53 @@ def _missing_calendar_dates(t: Tables) -> DataFrame:
     return count_rows(orphans(day_series(bounds, "lo", "hi", "d"), d, "d", "full_date"))
 
 
-def _versus(actual: DataFrame, expected: DataFrame) -> DataFrame:
-    """One row (actual, expected) from two one-row aggregates."""
-    return side_by_side([actual.toDF("actual"), expected.toDF("expected")])
-
-
-def _dim_customer_rows(t: Tables) -> DataFrame:
-    exp = t["stg_customers"].agg(F.count_distinct("customer_id").cast("bigint"))
-    return _versus(count_rows(t["dim_customer"]), exp)
-
-
-def _dim_product_rows(t: Tables) -> DataFrame:
-    return _versus(count_rows(t["dim_product"]), count_rows(t["stg_products"]))
-
-
-def _dim_date_rows(t: Tables) -> DataFrame:
-    b = t["stg_orders"].agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
-    exp = b.select(F.coalesce(F.datediff("hi", "lo") + 1, F.lit(0)).cast("bigint"))
-    return _versus(count_rows(t["dim_date"]), exp)
-
-
-def _calendar_bounds(t: Tables) -> DataFrame:
-    """How many of the two calendar bounds differ from the order-date bounds."""
-    cal = t["dim_date"].agg(F.min("full_date").alias("c_lo"), F.max("full_date").alias("c_hi"))
-    org = t["stg_orders"].agg(F.min("order_date").alias("o_lo"), F.max("order_date").alias("o_hi"))
-    both = side_by_side([cal, org])
+def _dims_vs_staging(t: Tables) -> DataFrame:
+    """Dimension sizes and calendar bounds next to what staging says they must be."""
+    dc = t["dim_customer"].agg(F.count(F.lit(1)).cast("bigint").alias("dim_customer_rows"))
+    dp = t["dim_product"].agg(F.count(F.lit(1)).cast("bigint").alias("dim_product_rows"))
+    dd = t["dim_date"].agg(F.count(F.lit(1)).cast("bigint").alias("dim_date_rows"),
+                           F.min("full_date").alias("c_lo"), F.max("full_date").alias("c_hi"))
+    sc = t["stg_customers"].agg(F.count_distinct("customer_id").cast("bigint").alias("stg_customer_ids"))
+    sp = t["stg_products"].agg(F.count(F.lit(1)).cast("bigint").alias("stg_product_rows"))
+    so = t["stg_orders"].agg(F.min("order_date").alias("o_lo"), F.max("order_date").alias("o_hi"))
+    row = side_by_side([dc, dp, dd, sc, sp, so])
     differs = lambda a, b: F.when(F.col(a).eqNullSafe(F.col(b)), 0).otherwise(1)
-    return both.select((differs("c_lo", "o_lo") + differs("c_hi", "o_hi")).cast("bigint").alias("actual"))
-
-
-def _fact_rows(t: Tables) -> DataFrame:
-    return _versus(count_rows(t["fact_sales"]), t["recon"].select("source_valid_rows"))
-
-
-def _recon(col: str):
-    def f(t: Tables) -> DataFrame:
-        return t["recon"].select(F.abs(F.col(col)).alias("actual"))
-    return f
+    return row.select(
+        "dim_customer_rows", "stg_customer_ids", "dim_product_rows", "stg_product_rows", "dim_date_rows",
+        F.coalesce(F.datediff("o_hi", "o_lo") + 1, F.lit(0)).cast("bigint").alias("calendar_days"),
+        (differs("c_lo", "o_lo") + differs("c_hi", "o_hi")).cast("bigint").alias("bound_mismatches"))
+
+
+def _recon_frame(t: Tables) -> DataFrame:
+    """Reconciliation differences and the line balance of the exclusion audit, in one row."""
+    both = side_by_side([t["recon"], t["line_balance"]])
+    balance = (abs_diff(F.col("staged_rows"), F.col("loadable_rows") + F.col("excluded_rows"))
+               + abs_diff(F.col("loadable_rows"), F.col("source_valid_rows")))
+    return both.select(F.abs("row_difference").alias("rows"), F.abs("quantity_difference").alias("quantity"),
+                       F.abs("sales_difference").alias("sales"), "fact_rows", "source_valid_rows",
+                       balance.cast("bigint").alias("balance"))
+
+
+def flag_tables(t: Tables) -> Tables:
+    """Child tables with one match flag per parent, so that all orphan checks of
+    a child table fuse into its single aggregate."""
+    out = dict(t)
+    if "stg_orders" in t and "stg_customers" in t:
+        out["stg_orders_flags"] = with_match(t["stg_orders"], t["stg_customers"], "customer_id", "_cust_ok")
+    if "stg_order_items" in t and "stg_products" in t and "stg_orders" in t:
+        i = with_match(t["stg_order_items"], t["stg_products"], "product_id", "_prod_ok")
+        out["stg_items_flags"] = with_match(i, t["stg_orders"], "order_id", "_order_ok")
+    if "fact_sales" in t and "dim_customer" in t:
+        f = with_match(t["fact_sales"], t["dim_customer"], "customer_key", "_cust_ok")
+        f = with_match(f, t["dim_product"], "product_key", "_prod_ok")
+        out["fact_flags"] = with_match(f, t["dim_date"], "date_key", "_date_ok")
+    return out
 
 
-def _exclusion_balance(t: Tables) -> DataFrame:
-    """|staged - loadable - excluded| plus |loadable - valid source rows|."""
-    bal = t["line_balance"]
-    both = side_by_side([bal, t["recon"].select("source_valid_rows")])
-    return both.select(
-        (abs_diff(F.col("staged_rows"), F.col("loadable_rows") + F.col("excluded_rows"))
-         + abs_diff(F.col("loadable_rows"), F.col("source_valid_rows"))).cast("bigint").alias("actual"))
+def _coverage(t: Tables) -> DataFrame:
+    return t["fact_sales"].agg(F.count_distinct("customer_key").cast("bigint").alias("customers"),
+                               F.count_distinct("product_key").cast("bigint").alias("products"),
+                               F.count_distinct("date_key").cast("bigint").alias("dates"))
 
 
 # --- the catalogue ---------------------------------------------------------------
@@ -141,60 +140,58 @@ def staging_checks() -> list[Check]:
         Check("duplicate_customer_ids", "staging", "anomaly", frame=_dup("stg_customers", ["customer_id"])),
         Check("missing_customer_cities", "staging", "anomaly", "stg_customers", lambda: F.col("city").isNull()),
         Check("missing_product_prices", "staging", "anomaly", "stg_products", lambda: F.col("price").isNull()),
-        Check("missing_payment_methods", "staging", "anomaly", "stg_orders",
+        Check("missing_payment_methods", "staging", "anomaly", "stg_orders_flags",
               lambda: F.col("payment_method").isNull()),
-        Check("orphan_customer_ids", "staging", "anomaly",
-              frame=_orphans("stg_orders", "stg_customers", "customer_id")),
-        Check("orphan_product_ids", "staging", "anomaly",
-              frame=_orphans("stg_order_items", "stg_products", "product_id")),
-        Check("invalid_quantities", "staging", "anomaly", "stg_order_items", lambda: F.col("quantity") <= 0),
-        Check("orphan_order_references", "staging", "zero",
-              frame=_orphans("stg_order_items", "stg_orders", "order_id")),
+        Check("orphan_customer_ids", "staging", "anomaly", "stg_orders_flags", lambda: ~F.col("_cust_ok")),
+        Check("orphan_product_ids", "staging", "anomaly", "stg_items_flags", lambda: ~F.col("_prod_ok")),
+        Check("invalid_quantities", "staging", "anomaly", "stg_items_flags", lambda: F.col("quantity") <= 0),
+        Check("orphan_order_references", "staging", "zero", "stg_items_flags", lambda: ~F.col("_order_ok")),
         Check("order_before_signup", "staging", "zero", frame=_order_before_signup),
         Check("unit_price_mismatches", "staging", "zero", frame=_price_mismatch),
         Check("stg_customers_rows", "staging", "positive", "stg_customers"),
         Check("stg_products_rows", "staging", "positive", "stg_products"),
-        Check("stg_orders_rows", "staging", "positive", "stg_orders"),
-        Check("stg_order_items_rows", "staging", "positive", "stg_order_items"),
+        Check("stg_orders_rows", "staging", "positive", "stg_orders_flags"),
+        Check("stg_order_items_rows", "staging", "positive", "stg_items_flags"),
     ]
 
 
 def warehouse_checks() -> list[Check]:
     fact_sales_ok = lambda: F.col("sales_amount") != line_amount(F.col("quantity"), F.col("unit_price"))
     return [
-        Check("dim_customer_rows", "dimensions", "equals", frame=_dim_customer_rows),
+        Check("dim_customer_rows", "dimensions", "equals", frame=_dims_vs_staging, column="dim_customer_rows",
+              expected_column="stg_customer_ids"),
         Check("unknown_cities", "dimensions", "anomaly", "dim_customer", lambda: F.col("city") == UNKNOWN_CITY),
         Check("dim_customer_duplicate_ids", "dimensions", "zero", frame=_dup("dim_customer", ["customer_id"])),
         Check("dim_customer_nulls", "dimensions", "zero", "dim_customer",
               lambda: any_null(REQUIRED["dim_customer"])),
-        Check("dim_product_rows", "dimensions", "equals", frame=_dim_product_rows),
+        Check("dim_product_rows", "dimensions", "equals", frame=_dims_vs_staging, column="dim_product_rows",
+              expected_column="stg_product_rows"),
         Check("null_prices", "dimensions", "anomaly", "dim_product", lambda: F.col("price").isNull()),
         Check("dim_product_duplicate_ids", "dimensions", "zero", frame=_dup("dim_product", ["product_id"])),
         Check("dim_product_nulls", "dimensions", "zero", "dim_product", lambda: any_null(REQUIRED["dim_product"])),
-        Check("dim_date_rows", "dimensions", "equals", frame=_dim_date_rows),
+        Check("dim_date_rows", "dimensions", "equals", frame=_dims_vs_staging, column="dim_date_rows",
+              expected_column="calendar_days"),
         Check("dim_date_duplicate_dates", "dimensions", "zero", frame=_dup("dim_date", ["full_date"])),
         Check("missing_calendar_dates", "dimensions", "zero", frame=_missing_calendar_dates),
         Check("date_key_mismatches", "dimensions", "zero", "dim_date",
               lambda: F.col("date_key") != calendar_key(F.col("full_date"))),
-        Check("calendar_bounds_mismatches", "dimensions", "zero", frame=_calendar_bounds),
-        Check("fact_rows", "fact", "equals", frame=_fact_rows),
+        Check("calendar_bounds_mismatches", "dimensions", "zero", frame=_dims_vs_staging, column="bound_mismatches"),
+        Check("fact_rows", "fact", "equals", frame=_recon_frame, column="fact_rows",
+              expected_column="source_valid_rows"),
         Check("duplicate_sales_keys", "fact", "zero", frame=_dup("fact_sales", ["sales_key"])),
-        Check("fact_nulls", "fact", "zero", "fact_sales", lambda: any_null(REQUIRED["fact_sales"])),
-        Check("fact_invalid_quantities", "fact", "zero", "fact_sales", lambda: F.col("quantity") <= 0),
-        Check("sales_amount_mismatches", "fact", "zero", "fact_sales", fact_sales_ok),
-        Check("orphan_customer_keys", "fact", "zero", frame=_orphans("fact_sales", "dim_customer", "customer_key")),
-        Check("orphan_product_keys", "fact", "zero", frame=_orphans("fact_sales", "dim_product", "product_key")),
-        Check("orphan_date_keys", "fact", "zero", frame=_orphans("fact_sales", "dim_date", "date_key")),
-        Check("covered_customers", "fact", "positive", frame=lambda t: t["fact_sales"].agg(
-            F.count_distinct("customer_key").cast("bigint").alias("actual"))),
-        Check("covered_products", "fact", "positive", frame=lambda t: t["fact_sales"].agg(
-            F.count_distinct("product_key").cast("bigint").alias("actual"))),
-        Check("covered_dates", "fact", "positive", frame=lambda t: t["fact_sales"].agg(
-            F.count_distinct("date_key").cast("bigint").alias("actual"))),
-        Check("row_difference", "reconciliation", "zero", frame=_recon("row_difference")),
-        Check("quantity_difference", "reconciliation", "zero", frame=_recon("quantity_difference")),
-        Check("sales_difference", "reconciliation", "zero", frame=_recon("sales_difference"), money=True),
-        Check("exclusion_balance", "reconciliation", "zero", frame=_exclusion_balance),
+        Check("fact_nulls", "fact", "zero", "fact_flags", lambda: any_null(REQUIRED["fact_sales"])),
+        Check("fact_invalid_quantities", "fact", "zero", "fact_flags", lambda: F.col("quantity") <= 0),
+        Check("sales_amount_mismatches", "fact", "zero", "fact_flags", fact_sales_ok),
+        Check("orphan_customer_keys", "fact", "zero", "fact_flags", lambda: ~F.col("_cust_ok")),
+        Check("orphan_product_keys", "fact", "zero", "fact_flags", lambda: ~F.col("_prod_ok")),
+        Check("orphan_date_keys", "fact", "zero", "fact_flags", lambda: ~F.col("_date_ok")),
+        Check("covered_customers", "fact", "positive", frame=_coverage, column="customers"),
+        Check("covered_products", "fact", "positive", frame=_coverage, column="products"),
+        Check("covered_dates", "fact", "positive", frame=_coverage, column="dates"),
+        Check("row_difference", "reconciliation", "zero", frame=_recon_frame, column="rows"),
+        Check("quantity_difference", "reconciliation", "zero", frame=_recon_frame, column="quantity"),
+        Check("sales_difference", "reconciliation", "zero", frame=_recon_frame, column="sales", money=True),
+        Check("exclusion_balance", "reconciliation", "zero", frame=_recon_frame, column="balance"),
     ]
 
 
@@ -208,7 +205,8 @@ def configure(checks: list[Check], expectations: Expectations | None) -> list[Ch
     for c in checks:
         if c.name in vals:
             rule = "equals" if c.rule == "positive" else c.rule
-            c = Check(c.name, c.stage, rule, c.table, c.predicate, c.frame, c.money, vals[c.name])
+            c = Check(c.name, c.stage, rule, c.table, c.predicate, c.frame, c.money, vals[c.name],
+                      c.column, c.expected_column)
         out.append(c)
     return out
 
@@ -235,52 +233,89 @@ def _measure(c: Check) -> Column:
 def measure_one(check: Check, tables: Tables) -> DataFrame:
     """One row ``(check, actual)`` for a single check."""
     if check.frame is not None:
-        m = check.frame(tables).select(F.col("actual"))
+        m = check.frame(tables).select(F.col(check.column).alias("actual"))
     else:
-        m = tables[check.table].agg(_measure(check).alias("actual"))
+        m = flag_tables(tables)[check.table].agg(_measure(check).alias("actual"))
     actual = F.col("actual").cast(TOTAL if check.money else "bigint")
     return m.select(F.lit(check.name).alias("check"), actual.alias("actual"))
 
 
-def measure_all(checks: list[Check], tables: Tables) -> DataFrame:
-    """Raw report rows (check, stage, rule, money, value, expected_value)."""
+def report_parts(checks: list[Check], tables: Tables) -> list[DataFrame]:
+    """Raw report rows, one small DataFrame per scan: one aggregate per table for
+    predicate checks, one evaluation per distinct frame for frame checks."""
+    tables = flag_tables(tables)
     parts: list[DataFrame] = []
     fused: dict[str, list[Check]] = {}
+    framed: dict[Callable, list[Check]] = {}
     for c in checks:
         if c.frame is None:
             fused.setdefault(c.table, []).append(c)
+        else:
+            framed.setdefault(c.frame, []).append(c)
     for table, cs in fused.items():
         agg = tables[table].agg(*[_measure(c).alias(f"m{i}") for i, c in enumerate(cs)])
         parts.append(_stacked(cs, agg))
-    for c in checks:
-        if c.frame is not None:
-            m = c.frame(tables)
-            cols = [F.col("actual").alias("m0")]
-            if "expected" in m.columns:
-                cols.append(F.col("expected").alias("e0"))
-            parts.append(_stacked([c], m.select(*cols)))
+    for frame, cs in framed.items():
+        m = frame(tables)
+        cols = []
+        for i, c in enumerate(cs):
+            cols.append(F.col(c.column).alias(f"m{i}"))
+            if c.expected_column:
+                cols.append(F.col(c.expected_column).alias(f"e{i}"))
+        parts.append(_stacked(cs, m.select(*cols)))
+    return [_with_configured(p, checks) for p in parts]
+
+
+def _with_configured(raw: DataFrame, checks: list[Check]) -> DataFrame:
+    """Configured expectations apply where none was measured."""
+    conf = {c.name: c.expected for c in checks if c.expected is not None}
+    if not conf:
+        return raw
+    e = F.col(_EXPECTED)
+    for name, v in conf.items():
+        e = F.when((F.col("check") == name) & F.col(_EXPECTED).isNull(), F.lit(v).cast(TOTAL)).otherwise(e)
+    return raw.withColumn(_EXPECTED, e)
+
+
+def measure_all(checks: list[Check], tables: Tables) -> DataFrame:
+    parts = report_parts(checks, tables)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    # Configured expectations override measured ones only where none was measured.
-    conf = {c.name: c.expected for c in checks if c.expected is not None}
-    if conf:
-        e = F.col(_EXPECTED)
-        for name, v in conf.items():
-            e = F.when((F.col("check") == name) & F.col(_EXPECTED).isNull(), F.lit(v).cast(TOTAL)).otherwise(e)
-        out = out.withColumn(_EXPECTED, e)
     return out
 
 
+def evaluate(checks: list[Check], tables: Tables, threads: int = 8) -> DataFrame:
+    """The report, computed part by part as concurrent small jobs.
+
+    Same rows as ``report``; each part is one aggregate (a few rows), so only
+    check results reach the driver. Small plans per job keep planning time
+    flat, where one union of every part is re-planned after each stage.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    parts = report_parts(checks, tables)
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        rows = [r for rs in pool.map(lambda p: p.collect(), parts) for r in rs]
+    spark = parts[0].sparkSession
+    raw = spark.createDataFrame(rows, parts[0].schema)
+    return finish(raw)
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
 def _stacked(cs: list[Check], frame: DataFrame) -> DataFrame:
-    parts = []
+    """Unpivot the one-row ``frame`` (m0..mk [, e0..ek]) into one report row per check."""
+    have = set(frame.columns)
+    rows = []
     for i, c in enumerate(cs):
-        val = F.col(f"m{i}").cast(TOTAL)
-        exp = F.col(f"e{i}").cast(TOTAL) if f"e{i}" in frame.columns else F.lit(None).cast(TOTAL)
-        parts.append(F.struct(F.lit(c.name).alias("check"), F.lit(c.stage).alias("stage"),
-                              F.lit(c.rule).alias("rule"), F.lit(c.money).alias("money"),
-                              val.alias(_VALUE), exp.alias(_EXPECTED)))
-    return frame.select(F.inline(F.array(*parts)))
+        exp = f"CAST(e{i} AS {TOTAL.simpleString()})" if f"e{i}" in have else f"CAST(NULL AS {TOTAL.simpleString()})"
+        rows.append(f"named_struct('check', {_sql_str(c.name)}, 'stage', {_sql_str(c.stage)}, "
+                    f"'rule', {_sql_str(c.rule)}, 'money', {str(c.money).lower()}, "
+                    f"'{_VALUE}', CAST(m{i} AS {TOTAL.simpleString()}), '{_EXPECTED}', {exp})")
+    return frame.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _text(v: Column, money: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,20 @@ from martforge.schemas import FACT_SALES, columns
 
 log = logging.getLogger(__name__)
 
+
+class _Steps:
+    """Wall-clock per build step, kept on the returned handle (and logged)."""
+
+    def __init__(self):
+        self.t = time.time()
+        self.times: dict[str, float] = {}
+
+    def __call__(self, name: str) -> None:
+        now = time.time()
+        self.times[name] = round(now - self.t, 3)
+        log.info("%s: %.2fs", name, now - self.t)
+        self.t = now
+
 FACT_PARTITION = "year_month"
 DIMENSIONS = ("dim_customer", "dim_product", "dim_date")
 
@@ -27,6 +42,7 @@ class Warehouse:
     spark: SparkSession
     root: str
     run_id: str
+    step_seconds: dict | None = None
 
     @property
     def store(self) -> Store:
@@ -38,10 +54,6 @@ class Warehouse:
             return df.select(*columns(FACT_SALES))
         return df
 
-    def fact_partitioned(self) -> DataFrame:
-        """The fact with its ``year_month`` partition column, for pruning."""
-        return self.store.read("fact_sales", self.run_id)
-
     def staging(self) -> Staging:
         return read_staging(self.spark, self.store.version_dir(self.run_id))
 
@@ -72,8 +84,17 @@ def _collect_report(report: DataFrame, path: str) -> list:
 
 def build(spark: SparkSession, staging: Staging, root: str,
           expectations: checks.Expectations | None = None, fingerprint: str = "",
-          run_id: str | None = None) -> Warehouse:
-    """Build and publish one version; raise ``GateFailed`` (nothing published) on a failed gate."""
+          run_id: str | None = None, month_partitions: bool = False) -> Warehouse:
+    """Build and publish one version; raise ``GateFailed`` (nothing published) on a failed gate.
+
+    The fact is written in its key order: each file holds a contiguous range of
+    sales keys (range partitions of the key build), so file and row-group
+    statistics on ``sales_key``/``order_id`` prune order lookups. With
+    ``month_partitions`` it is also split into ``year_month=`` folders for date
+    pruning, at the price of (tasks x months) files, since key ranges span
+    all months.
+    """
+    step = _Steps()
     store = Store(spark, root)
     run_id = run_id or new_run_id()
     vdir = store.version_dir(run_id)
@@ -81,36 +102,46 @@ def build(spark: SparkSession, staging: Staging, root: str,
     write_staging(staging, vdir)
     stg = read_staging(spark, vdir)
     pre = _staging_counts(stg)
+    step("staging")
 
     stg_checks = checks.configure(checks.staging_checks(), expectations)
-    rows = _collect_report(checks.report(stg_checks, stg.tables()), f"{vdir}/_staging_report")
+    rows = _collect_report(checks.evaluate(stg_checks, stg.tables()), f"{vdir}/_staging_report")
     checks.raise_on_failures(rows)
+    step("staging_gate")
 
     build_dim_customer(stg.customers).write.mode("errorifexists").parquet(f"{vdir}/dim_customer")
     build_dim_product(stg.products).write.mode("errorifexists").parquet(f"{vdir}/dim_product")
     build_dim_date(stg.orders).write.mode("errorifexists").parquet(f"{vdir}/dim_date")
     dims = {n: spark.read.parquet(f"{vdir}/{n}") for n in DIMENSIONS}
+    step("dimensions")
 
     fact = build_fact_sales(stg.order_items, stg.orders, dims["dim_customer"], dims["dim_product"],
                             dims["dim_date"])
-    (fact.withColumn(FACT_PARTITION, F.expr("date_key DIV 100").cast("int"))
-         .write.mode("errorifexists").partitionBy(FACT_PARTITION).parquet(f"{vdir}/fact_sales"))
+    if month_partitions:
+        (fact.withColumn(FACT_PARTITION, F.expr("date_key DIV 100").cast("int"))
+             .write.mode("errorifexists").partitionBy(FACT_PARTITION).parquet(f"{vdir}/fact_sales"))
+    else:
+        fact.write.mode("errorifexists").parquet(f"{vdir}/fact_sales")
     fact = spark.read.parquet(f"{vdir}/fact_sales").select(*columns(FACT_SALES))
+    step("fact")
 
     lines = audit.line_audit(stg, dims["dim_customer"], dims["dim_product"], dims["dim_date"])
     audit.excluded_lines(lines).write.mode("errorifexists").parquet(f"{vdir}/quarantine")
+    step("quarantine")
 
     all_checks = checks.all_checks(expectations)
-    rows = _collect_report(checks.report(all_checks, check_tables(stg, dims, fact)),
+    rows = _collect_report(checks.evaluate(all_checks, check_tables(stg, dims, fact)),
                            f"{vdir}/validation_report")
     post = _staging_counts(read_staging(spark, vdir))
     if pre != post:
         raise checks.GateFailed(f"staging changed during the build: {pre} -> {post}")
     checks.raise_on_failures(rows)
+    step("warehouse_gate")
 
     store.commit(run_id, fingerprint)
+    step("commit")
     log.info("published %s", run_id)
-    return Warehouse(spark, root, run_id)
+    return Warehouse(spark, root, run_id, step.times)
 
 
 def _staging_counts(stg: Staging) -> dict[str, int]:
