@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.operators.combine import side_by_side
-from martforge.plans import audit, checks, marts, reconcile
+from martforge.plans import audit, checks, marts, reconcile, views
 from martforge.plans.dims import build_dim_customer, build_dim_date, build_dim_product
 from martforge.plans.facts import build_fact_sales
 from martforge.plans.staging import Staging, derived_staging, mutated_staging
@@ -140,26 +140,8 @@ def _single(check_name: str, mutated: bool = False):
     return q
 
 
-# Issue labels of the data-quality monitor, in its order.
-DQ_LABELS = {
-    "duplicate_customer_ids": "Duplicate Customer IDs",
-    "missing_customer_cities": "Missing Customer Cities",
-    "missing_product_prices": "Missing Product Prices",
-    "missing_payment_methods": "Missing Payment Methods",
-    "orphan_customer_ids": "Orphan Customer IDs",
-    "orphan_product_ids": "Orphan Product IDs",
-    "invalid_quantities": "Invalid Quantities",
-}
-
-
 def q_dq_issues(spark, sf_dir):
-    stg = _wh(spark, sf_dir).staging()
-    cs = [checks.by_name(n) for n in DQ_LABELS]
-    raw = checks.measure_all(cs, stg.tables())
-    label = F.col("check")
-    for name, text in DQ_LABELS.items():
-        label = F.when(F.col("check") == name, F.lit(text)).otherwise(label)
-    return raw.select(label.alias("issue"), F.col("value").cast("bigint").alias("issue_count"))
+    return views.dq_issues(_wh(spark, sf_dir).staging().tables())
 
 
 def q_dim_date_bounds(spark, sf_dir):

@@ -115,6 +115,7 @@ def build(spark: SparkSession, staging: Staging, root: str,
     dims = {n: spark.read.parquet(f"{vdir}/{n}") for n in DIMENSIONS}
     step("dimensions")
 
+    dims_before = _counts(dims)
     fact = build_fact_sales(stg.order_items, stg.orders, dims["dim_customer"], dims["dim_product"],
                             dims["dim_date"])
     if month_partitions:
@@ -135,6 +136,9 @@ def build(spark: SparkSession, staging: Staging, root: str,
     post = _staging_counts(read_staging(spark, vdir))
     if pre != post:
         raise checks.GateFailed(f"staging changed during the build: {pre} -> {post}")
+    dims_after = _counts({n: spark.read.parquet(f"{vdir}/{n}") for n in DIMENSIONS})
+    if dims_before != dims_after:
+        raise checks.GateFailed(f"dimensions changed during the fact load: {dims_before} -> {dims_after}")
     checks.raise_on_failures(rows)
     step("warehouse_gate")
 
@@ -145,8 +149,13 @@ def build(spark: SparkSession, staging: Staging, root: str,
 
 
 def _staging_counts(stg: Staging) -> dict[str, int]:
+    return _counts(stg.tables())
+
+
+def _counts(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Row counts of several tables in one job (one small row per table)."""
     parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("t"), "n")
-             for name, df in stg.tables().items()]
+             for name, df in tables.items()]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -156,3 +165,10 @@ def _staging_counts(stg: Staging) -> dict[str, int]:
 def current(spark: SparkSession, root: str) -> Warehouse | None:
     rid = Store(spark, root).current()
     return Warehouse(spark, root, rid) if rid else None
+
+
+def run_from_extracts(spark: SparkSession, source_dir: str, root: str,
+                      expectations: checks.Expectations | None = None) -> Warehouse:
+    """The whole job from raw CSV extracts: validate source, ingest, build, gate, publish."""
+    from martforge.sources.extracts import ingest
+    return build(spark, ingest(spark, source_dir), root, expectations=expectations)

@@ -42,3 +42,22 @@ def test_integrity_violation_blocks_publish(spark, tmp_root):
     msg = str(e.value)
     assert "orphan_order_references" in msg and "order_before_signup" in msg and "unit_price_mismatches" in msg
     assert Store(spark, tmp_root).current() is None
+
+
+def test_views_and_run_from_extracts(spark, tmp_root):
+    from martforge.plans import views
+    from martforge.plans.warehouse import run_from_extracts
+    from martforge.sources.extracts import write_extracts
+    src = tmp_root + "/raw"
+    write_extracts(derived_staging(spark, SF001), src)
+    wh = run_from_extracts(spark, src, tmp_root + "/wh")
+    names = views.register(wh, prefix="t_")
+    assert "t_vw_warehouse_reconciliation_display" in names
+    disp = spark.sql("SELECT metric, difference FROM t_vw_warehouse_reconciliation_display").collect()
+    assert [r["metric"] for r in disp] == ["Rows", "Total Quantity", "Total Sales"]
+    assert all(r["difference"] == 0 for r in disp)
+    dq = {r["issue"]: r["issue_count"] for r in spark.sql("SELECT * FROM t_vw_data_quality_issues").collect()}
+    assert dq == {"Duplicate Customer IDs": 3, "Missing Customer Cities": 2, "Missing Product Prices": 4,
+                  "Missing Payment Methods": 10, "Orphan Customer IDs": 8, "Orphan Product IDs": 28,
+                  "Invalid Quantities": 39}
+    assert spark.sql("SELECT COUNT(*) AS n FROM t_fact_sales").first()["n"] == 5912
