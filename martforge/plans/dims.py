@@ -19,7 +19,8 @@ def build_dim_customer(stg_customers: DataFrame) -> DataFrame:
     """First row per customer_id (NULLs last), missing city -> 'Unknown', dense key by id."""
     first = first_per_key(stg_customers, ["customer_id"], CUSTOMER_PRECEDENCE)
     shaped = first.withColumn("city", or_unknown(F.col("city")))
-    return dense_key(shaped, ["customer_id"], "customer_key").select(*columns(DIM_CUSTOMER))
+    return dense_key(shaped, ["customer_id"], "customer_key",
+                     row_hint=stg_customers.count()).select(*columns(DIM_CUSTOMER))
 
 
 def build_dim_product(stg_products: DataFrame) -> DataFrame:
@@ -29,7 +30,8 @@ def build_dim_product(stg_products: DataFrame) -> DataFrame:
     uniqueness gate reports, still receive reproducible keys.
     """
     order = ["product_id", "product_name", "category", "price"]
-    return dense_key(stg_products, order, "product_key").select(*columns(DIM_PRODUCT))
+    return dense_key(stg_products, order, "product_key",
+                     row_hint=stg_products.count()).select(*columns(DIM_PRODUCT))
 
 
 def build_dim_date(stg_orders: DataFrame) -> DataFrame:

@@ -48,4 +48,7 @@ def build_fact_sales(stg_order_items: DataFrame, stg_orders: DataFrame, dim_cust
     joined = (lines.join(prod, "product_id")
                    .join(order_keys(stg_orders, dim_customer, dim_date, check_sizes), "order_id")
                    .withColumn("sales_amount", line_amount(F.col("quantity"), F.col("unit_price"))))
-    return dense_key(joined, FACT_KEY_ORDER, "sales_key").select(*columns(FACT_SALES))
+    # Staged lines bound the fact size (one order and one product row per line
+    # once the uniqueness gates hold); counted on the persisted staging table.
+    row_hint = lines.count() if check_sizes else None
+    return dense_key(joined, FACT_KEY_ORDER, "sales_key", row_hint=row_hint).select(*columns(FACT_SALES))

@@ -42,3 +42,11 @@ def test_dense_key_nulls_last_and_empty(spark):
     assert got == {1: 1, 2: 2, 3: 3, None: 4}
     empty = spark.createDataFrame([], "x int")
     assert dense_key(empty, ["x"], "k").count() == 0
+
+
+def test_partition_sizing(spark):
+    from martforge.operators.keys import partitions_for
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(spark, None) == base
+    assert partitions_for(spark, 10) == base
+    assert partitions_for(spark, 4_000_000 * 1000 + 1) == 1001
