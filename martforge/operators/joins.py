@@ -69,5 +69,9 @@ def with_match(child: DataFrame, parent: DataFrame, child_key: str, flag: str,
     pk = parent_key or child_key
     alias = f"_mf_k_{flag}"
     keys = parent.select(F.col(pk).alias(alias)).distinct().withColumn(flag, F.lit(True))
+    if fits_broadcast(parent):
+        # Decided before planning, so the child is not shuffled for a join
+        # that AQE would only later turn into a broadcast.
+        keys = F.broadcast(keys)
     joined = child.join(keys, F.col(child_key) == F.col(alias), "left").drop(alias)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martforge.operators.joins import fits_broadcast
 from martforge.plans.staging import Staging
 
 # Exclusion reasons, in precedence order (first = primary).
@@ -12,14 +13,19 @@ REASONS = ("null_quantity", "invalid_quantity", "orphan_product", "orphan_order"
            "orphan_customer", "no_calendar_date")
 
 
+def _lookup(keys: DataFrame, dim: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if fits_broadcast(dim) else keys
+
+
 def order_status(stg: Staging, dim_customer: DataFrame, dim_date: DataFrame) -> DataFrame:
     """One row per staged order_id: can its lines reach the fact, and if not, why.
 
     Grouping by order_id makes the line-side join a lookup even when an
     order_id is staged twice (no fan-out in the audit).
     """
-    cust = dim_customer.select("customer_id").distinct().withColumn("_c", F.lit(True))
-    cal = dim_date.select(F.col("full_date").alias("order_date")).distinct().withColumn("_d", F.lit(True))
+    cust = _lookup(dim_customer.select("customer_id").distinct().withColumn("_c", F.lit(True)), dim_customer)
+    cal = _lookup(dim_date.select(F.col("full_date").alias("order_date")).distinct().withColumn("_d", F.lit(True)),
+                  dim_date)
     o = (stg.orders.select("order_id", "customer_id", "order_date")
          .join(cust, "customer_id", "left")
          .join(cal, "order_date", "left"))
@@ -36,7 +42,7 @@ def line_audit(stg: Staging, dim_customer: DataFrame, dim_product: DataFrame,
                dim_date: DataFrame) -> DataFrame:
     """Every staged line with ``reasons`` (comma list, precedence order, '' when loaded)
     and ``primary_reason`` (NULL when loaded)."""
-    prod = dim_product.select("product_id").distinct().withColumn("_p", F.lit(True))
+    prod = _lookup(dim_product.select("product_id").distinct().withColumn("_p", F.lit(True)), dim_product)
     orders = order_status(stg, dim_customer, dim_date).withColumn("_o", F.lit(True))
     lines = (stg.order_items.select("order_id", "product_id", "quantity", "unit_price")
              .join(prod, "product_id", "left")
