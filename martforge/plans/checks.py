@@ -107,20 +107,23 @@ def _recon_frame(t: Tables) -> DataFrame:
                        balance.cast("bigint").alias("balance"))
 
 
-def flag_tables(t: Tables) -> Tables:
+def _flags(name: str, t: Tables) -> DataFrame:
     """Child tables with one match flag per parent, so that all orphan checks of
     a child table fuse into its single aggregate."""
-    out = dict(t)
-    if "stg_orders" in t and "stg_customers" in t:
-        out["stg_orders_flags"] = with_match(t["stg_orders"], t["stg_customers"], "customer_id", "_cust_ok")
-    if "stg_order_items" in t and "stg_products" in t and "stg_orders" in t:
+    if name == "stg_orders_flags":
+        return with_match(t["stg_orders"], t["stg_customers"], "customer_id", "_cust_ok")
+    if name == "stg_items_flags":
         i = with_match(t["stg_order_items"], t["stg_products"], "product_id", "_prod_ok")
-        out["stg_items_flags"] = with_match(i, t["stg_orders"], "order_id", "_order_ok")
-    if "fact_sales" in t and "dim_customer" in t:
+        return with_match(i, t["stg_orders"], "order_id", "_order_ok")
+    if name == "fact_flags":
         f = with_match(t["fact_sales"], t["dim_customer"], "customer_key", "_cust_ok")
         f = with_match(f, t["dim_product"], "product_key", "_prod_ok")
-        out["fact_flags"] = with_match(f, t["dim_date"], "date_key", "_date_ok")
-    return out
+        return with_match(f, t["dim_date"], "date_key", "_date_ok")
+    raise KeyError(name)
+
+
+def table_for(name: str, t: Tables) -> DataFrame:
+    return t[name] if name in t else _flags(name, t)
 
 
 def _coverage(t: Tables) -> DataFrame:
@@ -235,7 +238,7 @@ def measure_one(check: Check, tables: Tables) -> DataFrame:
     if check.frame is not None:
         m = check.frame(tables).select(F.col(check.column).alias("actual"))
     else:
-        m = flag_tables(tables)[check.table].agg(_measure(check).alias("actual"))
+        m = table_for(check.table, tables).agg(_measure(check).alias("actual"))
     actual = F.col("actual").cast(TOTAL if check.money else "bigint")
     return m.select(F.lit(check.name).alias("check"), actual.alias("actual"))
 
@@ -243,7 +246,6 @@ def measure_one(check: Check, tables: Tables) -> DataFrame:
 def report_parts(checks: list[Check], tables: Tables) -> list[DataFrame]:
     """Raw report rows, one small DataFrame per scan: one aggregate per table for
     predicate checks, one evaluation per distinct frame for frame checks."""
-    tables = flag_tables(tables)
     parts: list[DataFrame] = []
     fused: dict[str, list[Check]] = {}
     framed: dict[Callable, list[Check]] = {}
@@ -253,7 +255,7 @@ def report_parts(checks: list[Check], tables: Tables) -> list[DataFrame]:
         else:
             framed.setdefault(c.frame, []).append(c)
     for table, cs in fused.items():
-        agg = tables[table].agg(*[_measure(c).alias(f"m{i}") for i, c in enumerate(cs)])
+        agg = table_for(table, tables).agg(*[_measure(c).alias(f"m{i}") for i, c in enumerate(cs)])
         parts.append(_stacked(cs, agg))
     for frame, cs in framed.items():
         m = frame(tables)

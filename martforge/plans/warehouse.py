@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,19 +43,22 @@ class Warehouse:
     root: str
     run_id: str
     step_seconds: dict | None = None
+    _reads: dict = field(default_factory=dict, repr=False)
 
     @property
     def store(self) -> Store:
         return Store(self.spark, self.root)
 
     def table(self, name: str) -> DataFrame:
-        df = self.store.read(name, self.run_id)
-        if name == "fact_sales":
-            return df.select(*columns(FACT_SALES))
-        return df
+        """A table of this version (the DataFrame is reused: versions are immutable)."""
+        if name not in self._reads:
+            df = self.store.read(name, self.run_id)
+            self._reads[name] = df.select(*columns(FACT_SALES)) if name == "fact_sales" else df
+        return self._reads[name]
 
     def staging(self) -> Staging:
-        return read_staging(self.spark, self.store.version_dir(self.run_id))
+        return Staging(*[self.table(n) for n in ("stg_customers", "stg_products", "stg_orders",
+                                                   "stg_order_items")])
 
     def tables(self) -> dict[str, DataFrame]:
         t = dict(self.staging().tables())
