@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,30 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
 
 
+_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def row_count(df: DataFrame) -> int:
+    """Row count of ``df``, remembered for the DataFrame object (tables of a
+    published version are immutable, and their DataFrames are reused)."""
+    if df not in _ROWS:
+        _ROWS[df] = df.count()
+    return _ROWS[df]
+
+
+def prefetch_row_counts(frames: list[DataFrame]) -> None:
+    """Count several frames in ONE job (a union of one-row aggregates)."""
+    todo = [f for f in dict.fromkeys(frames) if f not in _ROWS]
+    if not todo:
+        return
+    parts = [f.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, f in enumerate(todo)]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.union(p)
+    for r in u.collect():
+        _ROWS[todo[r["i"]]] = r["n"]
+
+
 def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its row count is within the limit, else ``df``.
 
@@ -22,13 +48,12 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     where it is answered from file footers. Past the limit the join is left
     to AQE (shuffle join, with skew splitting of hot keys).
     """
-    limit = broadcast_limit(df) if max_rows is None else max_rows
-    return F.broadcast(df) if df.count() <= limit else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     limit = broadcast_limit(df) if max_rows is None else max_rows
-    return df.count() <= limit
+    return row_count(df) <= limit
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:

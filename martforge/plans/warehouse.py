@@ -9,12 +9,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.operators.joins import prefetch_row_counts
 from martforge.plans import audit, checks, reconcile
 from martforge.plans.dims import build_dim_customer, build_dim_date, build_dim_product
 from martforge.plans.facts import build_fact_sales
 from martforge.plans.publish import Store, new_run_id
-from martforge.plans.staging import Staging, read_staging, write_staging
-from martforge.schemas import FACT_SALES, columns
+from martforge.plans.staging import Staging, read_staging
+from martforge.schemas import FACT_SALES, STAGING, columns
 
 log = logging.getLogger(__name__)
 
@@ -71,6 +72,8 @@ def check_tables(stg: Staging, dims: dict[str, DataFrame], fact: DataFrame | Non
     """Everything the check catalogue reads, derived from persisted tables."""
     t: dict[str, DataFrame] = dict(stg.tables())
     t.update(dims)
+    # lookup sides whose size decides broadcast vs shuffle, counted in one job
+    prefetch_row_counts([stg.customers, stg.products, stg.orders, *dims.values()])
     if fact is not None:
         t["fact_sales"] = fact
         src = reconcile.source_totals(stg, dims["dim_customer"], dims["dim_product"], dims["dim_date"])
@@ -102,7 +105,8 @@ def build(spark: SparkSession, staging: Staging, root: str,
     run_id = run_id or new_run_id()
     vdir = store.version_dir(run_id)
 
-    write_staging(staging, vdir)
+    _concurrently([lambda n=n, df=df: df.write.mode("errorifexists").parquet(f"{vdir}/{n}")
+                   for n, df in _conformed(staging).items()])
     stg = read_staging(spark, vdir)
     pre = _staging_counts(stg)
     step("staging")
@@ -112,9 +116,11 @@ def build(spark: SparkSession, staging: Staging, root: str,
     checks.raise_on_failures(rows)
     step("staging_gate")
 
-    build_dim_customer(stg.customers).write.mode("errorifexists").parquet(f"{vdir}/dim_customer")
-    build_dim_product(stg.products).write.mode("errorifexists").parquet(f"{vdir}/dim_product")
-    build_dim_date(stg.orders).write.mode("errorifexists").parquet(f"{vdir}/dim_date")
+    _concurrently([
+        lambda: build_dim_customer(stg.customers).write.mode("errorifexists").parquet(f"{vdir}/dim_customer"),
+        lambda: build_dim_product(stg.products).write.mode("errorifexists").parquet(f"{vdir}/dim_product"),
+        lambda: build_dim_date(stg.orders).write.mode("errorifexists").parquet(f"{vdir}/dim_date"),
+    ])
     dims = {n: spark.read.parquet(f"{vdir}/{n}") for n in DIMENSIONS}
     step("dimensions")
 
@@ -151,6 +157,19 @@ def build(spark: SparkSession, staging: Staging, root: str,
     return Warehouse(spark, root, run_id, step.times)
 
 
+def _concurrently(jobs: list) -> None:
+    """Run independent Spark jobs (e.g. writes of different tables) at the same
+    time, so small tables do not leave the cluster idle one after another."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
+def _conformed(staging: Staging) -> dict[str, DataFrame]:
+    return {n: df.select(*columns(STAGING[n])) for n, df in staging.tables().items()}
+
+
 def _staging_counts(stg: Staging) -> dict[str, int]:
     return _counts(stg.tables())
 
