@@ -52,11 +52,18 @@ def source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha1(repr((rows, _code_hash())).encode()).hexdigest()[:16]
 
 
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # sessions without a SparkContext
+        return str(id(spark))
+
+
 def published_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     sf_dir = sf_dir.rstrip("/")
     with _LOCK:
         fp = source_fingerprint(spark, sf_dir)
-        key = (spark.sparkContext.applicationId, sf_dir, fp)
+        key = (_app_id(spark), sf_dir, fp)
         if key in _MEMO:
             return _MEMO[key]
         root = f"{scratch_root(spark)}/martforge/warehouse-{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
@@ -72,7 +79,7 @@ def use_warehouse(spark: SparkSession, sf_dir: str, wh: Warehouse) -> None:
     """Serve report queries for ``sf_dir`` from an already built version."""
     sf_dir = sf_dir.rstrip("/")
     with _LOCK:
-        _MEMO[(spark.sparkContext.applicationId, sf_dir, source_fingerprint(spark, sf_dir))] = wh
+        _MEMO[(_app_id(spark), sf_dir, source_fingerprint(spark, sf_dir))] = wh
 
 
 # --- operator queries ------------------------------------------------------------

@@ -8,7 +8,6 @@ is what a 1x1 cross join of the aggregates would give, with no join at all.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 _SIDE = "_mf_side"
 

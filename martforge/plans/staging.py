@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.schemas import STAGING, columns
+from martforge.schemas import STAGING
 from martforge.sources import tpch
 
 
@@ -48,11 +48,6 @@ def mutated_staging(staging: Staging) -> Staging:
                            order_items=tpch.stg_order_items_mut(staging.order_items))
 
 
-def write_staging(staging: Staging, root: str) -> None:
-    for name, df in staging.tables().items():
-        df.select(*columns(STAGING[name])).write.mode("errorifexists").parquet(f"{root}/{name}")
-
-
 def read_staging(spark: SparkSession, root: str) -> Staging:
     r = lambda n: spark.read.parquet(f"{root}/{n}")
     return Staging(r("stg_customers"), r("stg_products"), r("stg_orders"), r("stg_order_items"))

@@ -44,7 +44,13 @@ def scratch_root(spark: SparkSession) -> str:
     when the session names none (local tests) is a fresh local folder created
     and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext (e.g. Spark Connect)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        return configured.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
