@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +43,25 @@ def _code_hash() -> str:
     return h.hexdigest()[:12]
 
 
+_FP_TTL_SEC = 60.0
+_FP_CACHE: dict[tuple, tuple[float, str]] = {}
+
+
 def source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Identity of the inputs: file names, sizes, modification times, code version."""
+    """Identity of the inputs: file names, sizes, modification times, code version.
+
+    Re-listed at most once a minute per session and folder.
+    """
+    key = (_app_id(spark), sf_dir)
+    hit = _FP_CACHE.get(key)
+    if hit and time.time() - hit[0] < _FP_TTL_SEC:
+        return hit[1]
+    fp = _list_fingerprint(spark, sf_dir)
+    _FP_CACHE[key] = (time.time(), fp)
+    return fp
+
+
+def _list_fingerprint(spark: SparkSession, sf_dir: str) -> str:
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
                .load(sf_dir).select("path", "length", "modificationTime"))
     wanted = {f"{t}.parquet" for t in SOURCE_TABLES}
