@@ -84,3 +84,13 @@ def line_balance(audit: DataFrame) -> DataFrame:
         F.count_if(excluded).cast("bigint").alias("excluded_rows"),
         F.count_if(~excluded).cast("bigint").alias("loadable_rows"),
     )
+
+
+def balance_from_quarantine(stg_order_items: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """``line_balance`` of a version whose quarantine (excluded lines) is already written:
+    staged lines and quarantined lines are counted, the rest is loadable."""
+    from martforge.operators.combine import side_by_side
+    staged = stg_order_items.agg(F.count(F.lit(1)).cast("bigint").alias("staged_rows"))
+    excluded = quarantine.agg(F.count(F.lit(1)).cast("bigint").alias("excluded_rows"))
+    return side_by_side([staged, excluded]).select(
+        "staged_rows", "excluded_rows", (F.col("staged_rows") - F.col("excluded_rows")).alias("loadable_rows"))
