@@ -61,3 +61,18 @@ def test_views_and_run_from_extracts(spark, tmp_root):
                   "Missing Payment Methods": 10, "Orphan Customer IDs": 8, "Orphan Product IDs": 28,
                   "Invalid Quantities": 39}
     assert spark.sql("SELECT COUNT(*) AS n FROM t_fact_sales").first()["n"] == 5912
+
+
+def test_malformed_extract_aborts_before_publish(spark, tmp_root):
+    import glob
+    from martforge.plans.warehouse import run_from_extracts
+    from martforge.sources.extracts import write_extracts
+    src = tmp_root + "/raw"
+    write_extracts(derived_staging(spark, SF001), src)
+    part = sorted(glob.glob(src + "/orders.csv/part-*.csv"))[0]
+    lines = open(part).read().splitlines()
+    lines[1] = "not-a-number," + lines[1].split(",", 1)[1]
+    open(part, "w").write("\n".join(lines) + "\n")
+    with pytest.raises(Exception):
+        run_from_extracts(spark, src, tmp_root + "/wh")
+    assert Store(spark, tmp_root + "/wh").current() is None
