@@ -41,14 +41,17 @@ def prefetch_row_counts(frames: list[DataFrame]) -> None:
         _ROWS[todo[r["i"]]] = r["n"]
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None = None, size_of: DataFrame | None = None) -> DataFrame:
     """``broadcast(df)`` when its row count is within the limit, else ``df``.
 
+    ``size_of``: the table ``df`` projects (same rows), whose remembered count
+    can be reused.
+
     The count is an action; call it on materialised (parquet) lookup tables,
     where it is answered from file footers. Past the limit the join is left
     to AQE (shuffle join, with skew splitting of hot keys).
     """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df if size_of is None else size_of, max_rows) else df
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:

@@ -25,8 +25,8 @@ def order_keys(stg_orders: DataFrame, dim_customer: DataFrame, dim_date: DataFra
     cust = dim_customer.select("customer_id", "customer_key")
     cal = dim_date.select(F.col("full_date").alias("order_date"), "date_key")
     if check_sizes:
-        cust = sized_broadcast(cust)
-        cal = sized_broadcast(cal)
+        cust = sized_broadcast(cust, size_of=dim_customer)
+        cal = sized_broadcast(cal, size_of=dim_date)
     return (stg_orders.select("order_id", "customer_id", "order_date")
             .join(cust, "customer_id")
             .join(cal, "order_date")
@@ -44,7 +44,7 @@ def build_fact_sales(stg_order_items: DataFrame, stg_orders: DataFrame, dim_cust
              .select("order_id", "product_id", "quantity", "unit_price"))
     prod = dim_product.select("product_id", "product_key")
     if check_sizes:
-        prod = sized_broadcast(prod)
+        prod = sized_broadcast(prod, size_of=dim_product)
     joined = (lines.join(prod, "product_id")
                    .join(order_keys(stg_orders, dim_customer, dim_date, check_sizes), "order_id")
                    .withColumn("sales_amount", line_amount(F.col("quantity"), F.col("unit_price"))))

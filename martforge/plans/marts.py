@@ -51,7 +51,7 @@ def kpi_measures(fact: DataFrame) -> DataFrame:
 def additive_by(fact: DataFrame, dim: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     """sum(sales_amount), sum(quantity) per ``attrs`` of ``dim`` joined on ``key``."""
     lookup = dim.select(key, *attrs)
-    if fits_broadcast(lookup):
+    if fits_broadcast(dim):
         joined = fact.select(key, "sales_amount", "quantity").join(F.broadcast(lookup), key)
         return joined.groupBy(*attrs).agg(_sales(), _qty())
     per_key = fact.groupBy(key).agg(F.sum("sales_amount").alias("sales_amount"),
@@ -67,7 +67,7 @@ def revenue_by_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 
 def monthly_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    cal = sized_broadcast(dim_date.select("date_key", "year", "month", "month_name"))
+    cal = sized_broadcast(dim_date.select("date_key", "year", "month", "month_name"), size_of=dim_date)
     per_day = fact.groupBy("date_key").agg(F.sum("sales_amount").alias("sales_amount"),
                                            F.sum("quantity").alias("quantity"),
                                            F.count_distinct("order_id").alias("orders"))
@@ -78,7 +78,7 @@ def monthly_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def quarterly_growth(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    cal = sized_broadcast(dim_date.select("date_key", "year", "quarter"))
+    cal = sized_broadcast(dim_date.select("date_key", "year", "quarter"), size_of=dim_date)
     per_day = fact.groupBy("date_key").agg(F.sum("sales_amount").alias("sales_amount"))
     q = per_day.join(cal, "date_key").groupBy("year", "quarter").agg(
         to_total(F.sum("sales_amount")).alias("total_sales"))
@@ -138,7 +138,7 @@ def asp_by_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 def measures_by_category_month(fact: DataFrame, dim_product: DataFrame, dim_date: DataFrame) -> DataFrame:
     """The measure set sliced by category, year and month (report filter context)."""
-    prod = sized_broadcast(dim_product.select("product_key", "category"))
-    cal = sized_broadcast(dim_date.select("date_key", "year", "month"))
+    prod = sized_broadcast(dim_product.select("product_key", "category"), size_of=dim_product)
+    cal = sized_broadcast(dim_date.select("date_key", "year", "month"), size_of=dim_date)
     sliced = fact.join(prod, "product_key").join(cal, "date_key")
     return measures(sliced, ["category", "year", "month"])
