@@ -76,3 +76,13 @@ def test_malformed_extract_aborts_before_publish(spark, tmp_root):
     with pytest.raises(Exception):
         run_from_extracts(spark, src, tmp_root + "/wh")
     assert Store(spark, tmp_root + "/wh").current() is None
+
+
+def test_fixture_expectations_pin_known_anomalies(spark, tmp_root):
+    from martforge.plans.expectations import for_fixture
+    wh = build(spark, derived_staging(spark, SF001), tmp_root, expectations=for_fixture(SF001))
+    rep = {r["check"]: r for r in wh.store.read("validation_report", wh.run_id).collect()}
+    assert rep["invalid_quantities"]["status"] == "WARN" and rep["invalid_quantities"]["expected"] == "39"
+    assert rep["unknown_cities"]["status"] == "PASS" and rep["unknown_cities"]["expected"] == "0"
+    assert rep["stg_order_items_rows"]["status"] == "PASS" and rep["stg_order_items_rows"]["expected"] == "6000"
+    assert "FAIL" not in {r["status"] for r in rep.values()}
