@@ -10,6 +10,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.ngram_join import jaccard_components
+    return jaccard_components(_read(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.llm.exact_dedup import exact_dedup
     return exact_dedup(_read(spark, sf_dir, "documents"))
@@ -25,6 +30,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_exact_dedup": op4_exact_dedup,
     "op9_decontaminate": op9_decontaminate,
 }
