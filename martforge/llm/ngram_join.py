@@ -19,18 +19,17 @@ fixed size over the whole corpus) and break ties by three independent hashes.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
-from functools import reduce
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martforge.llm.graph import connected_components
-from martforge.llm.shingles import WordHashes, as_long, mixed, shingle_set
+from martforge.llm.rounds import linked_in_rounds
+from martforge.llm.shingles import WordHashes, as_long, batches_of, mixed, shingle_set
 from martforge.session import materialize
 
 #: Counters of the sketch; 1 MB once reduced to size classes.
@@ -46,17 +45,6 @@ def required(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
-def batches_of(rows: Iterator[dict], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:
-    held: list[dict] = []
-    for row in rows:
-        held.append(row)
-        if len(held) >= size:
-            yield pa.RecordBatch.from_pylist(held, schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema)
-
-
 def _counting(k: int, seed: int):
     """Task of the first pass: a row for each document, and the task's counts in blocks."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("other", pa.int64()),
@@ -168,29 +156,6 @@ def _verifying(k: int, num: int, den: int):
     return task
 
 
-def _left_open(tokens: DataFrame, links: DataFrame) -> DataFrame:
-    """The groups that still hold several components, once links are known."""
-    known = connected_components(links).select(F.col("node").alias("cls"), F.col("component").alias("known"))
-    tokens = (tokens.drop("comp").join(known, "cls", "left")
-              .select("token", "cls", "n", F.coalesce("known", "cls").alias("comp")))
-    return materialize(_shared(tokens), "ngram-tokens")
-
-
-def _shared(tokens: DataFrame) -> DataFrame:
-    several = (tokens.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-               .filter("x <> y").select("token"))
-    return tokens.join(several, "token", "left_semi")
-
-
-def _candidates(tokens: DataFrame, hubs: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of a group's hub and a later member (by size) of another component whose sizes fit."""
-    p, h = tokens.alias("p"), hubs.alias("h")
-    later = F.struct("h.n", "h.cls") < F.struct("p.n", "p.cls")
-    fits = F.col("h.n") * den >= F.col("p.n") * num
-    return (p.join(h, "token").filter(later & fits & (F.col("p.comp") != F.col("h.comp")))
-            .select(F.col("h.cls").alias("a"), F.col("p.cls").alias("b")).distinct())
-
-
 def jaccard_links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``rows`` (doc_id, n, cls), ``classes`` (cls, first_id) and ``links`` (a, b) that connect similar classes.
 
@@ -215,27 +180,11 @@ def jaccard_links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFram
     prefixes = materialize(docs.select("text").mapInArrow(
         _prefixes(k, seed, num, den, ranks), "cls long, n long, tokens array<long>, second binary, third binary"),
         "ngram-prefixes")
-    each = (prefixes.select(F.explode("tokens").alias("token"), "cls", "n")
-            .groupBy("token", "cls").agg(F.min("n").alias("n")).withColumn("comp", F.col("cls")))
-    tokens = materialize(_shared(each), "ngram-tokens")
-
-    links = []
-    for step in count():
-        size = tokens.groupBy("token").count().agg(F.sum(F.expr("count * (count - 1) / 2")).alias("pairs"),
-                                                   F.sum("count").alias("rows")).first()
-        if not size["rows"]:
-            break
-        every = size["pairs"] <= 4 * size["rows"]
-        order = Window.partitionBy("token").orderBy("n", "cls")
-        hubs = tokens if every else (tokens.withColumn("at", F.row_number().over(order))
-                                     .filter(F.col("at") <= 1 << step).drop("at"))
-        pairs = materialize(_candidates(tokens, hubs, num, den), "ngram-candidates")
-        links.append(_similar(docs, classes, prefixes, pairs, k, num, den))
-        if every:
-            break
-        tokens = _left_open(tokens.join(hubs, ["token", "cls"], "left_anti"), reduce(DataFrame.unionByName, links))
-    none = spark.createDataFrame([], "a long, b long")
-    return rows, classes, reduce(DataFrame.unionByName, links) if links else none
+    members = prefixes.select(F.explode("tokens").alias("token"), F.col("cls").alias("node"), "n")
+    members = members.repartition("token").groupBy("token", "node").agg(F.min("n").alias("n"))
+    fits = lambda hub, member: F.col(f"{hub}.n") * den >= F.col(f"{member}.n") * num
+    similar = lambda pairs: _similar(docs, classes, prefixes, pairs, k, num, den)
+    return rows, classes, linked_in_rounds(members, fits, similar, "ngram")
 
 
 def _near(keys: DataFrame) -> DataFrame:
@@ -254,8 +203,8 @@ def _similar(docs, classes, prefixes, pairs, k, num, den) -> DataFrame:
     wanted = materialize(passed.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
                          .join(classes.select("cls", "text_key"), "cls"), "ngram-wanted")
     texts = materialize(docs.join(_near(wanted), "text_key").groupBy("cls").agg(F.first("text").alias("text")), "ngram-texts")
-    return materialize(passed.join(side(texts, "b", ["text"]), "b").join(side(texts, "a", ["text"]), "a")
-                       .select("a", "b", "texta", "textb").mapInArrow(_verifying(k, num, den), "a long, b long"), "ngram-links")
+    return (passed.join(side(texts, "b", ["text"]), "b").join(side(texts, "a", ["text"]), "a")
+            .select("a", "b", "texta", "textb").mapInArrow(_verifying(k, num, den), "a long, b long"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, num: int = 90,

@@ -20,6 +20,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.line_dedup import fuzzy_line_dedup
+    found = fuzzy_line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", F.col("n_lines").cast("long").alias("n_lines"),
+                        F.size("cut_lines").cast("long").alias("n_cut"), "cut_lines")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.llm.decontaminate import scan
     found = scan(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -32,6 +39,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op9_decontaminate": op9_decontaminate,
 }
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 #: Word hashes that a task remembers; beyond it the memory starts anew.
@@ -46,3 +49,15 @@ def shingle_set(text: str | None, k: int, hashes: WordHashes) -> np.ndarray:
 def as_long(x: int) -> int:
     """An unsigned 64-bit value as Spark's signed long."""
     return x - (1 << 64) if x >= 1 << 63 else x
+
+
+def batches_of(rows: Iterator[dict], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of at most ``size`` rows."""
+    held: list[dict] = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= size:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
