@@ -209,10 +209,11 @@ def _similar(docs, classes, prefixes, pairs, k, num, den) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, num: int = 90,
                        den: int = 100) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id``.
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, text_key, component``.
 
     Documents are linked when ``den * |A & B| >= num * |A | B|`` for their sets of distinct k-word shingles.
-    ``component_id`` is the smallest id that links reach, its own included.
+    ``component_id`` is the smallest id that links reach, its own included; ``component`` names the component also
+    where ids repeat or are null (null: no shingles), ``text_key`` is a hash of the text that tells apart rows of an id.
 
     Nulls and empty texts have no shingles and are linked with nothing. Null ids are kept; a component's id is null
     only if all its ids are. Repeated rows are equal sets and so linked. An empty table gives no rows. Other columns
@@ -225,7 +226,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comp = connected_components(links).select(F.col("node").alias("cls"), "component")
     of = classes.select("cls", "first_id").join(comp, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = of.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of = of.join(smallest, "component").select("cls", "component_id")
+    of = of.join(smallest, "component").select("cls", "component_id", "component")
+    some = F.col("n") > 0
     return rows.join(of, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(some, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "text_key", F.when(some, F.col("component")).alias("component"))

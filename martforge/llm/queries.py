@@ -12,7 +12,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.llm.ngram_join import jaccard_components
-    return jaccard_components(_read(spark, sf_dir, "documents"), k=3, num=90, den=100)
+    found = jaccard_components(_read(spark, sf_dir, "documents"), k=3, num=90, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,21 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("cut_lines").cast("long").alias("n_cut"), "cut_lines")
 
 
+def vocabulary_path() -> str:
+    """The byte-level BPE file of the public tokenizers package, at the same place on every node."""
+    import public_tokenizers
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.bpe import decode_documents, encode_documents
+    path = vocabulary_path()
+    encoded = encode_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    return decode_documents(encoded, path).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.llm.decontaminate import scan
     found = scan(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -36,11 +52,21 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("hit") > 0).alias("contaminated"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.quality import fit_on_corpus, held_out
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_on_corpus(docs, _read(spark, sf_dir, "labels"))
+    return model.score(docs).select("doc_id", held_out().alias("held_out"), "score",
+                                    F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_bpe": op8_bpe,
     "op9_decontaminate": op9_decontaminate,
+    "op10_quality": op10_quality,
 }
 
 ORACLE = {
