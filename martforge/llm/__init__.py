@@ -1 +1,17 @@
 """Operators of a training-data pipeline: sharding, deduplication, tokenising, decontamination, quality, chat."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import SparkSession
+
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def python_tasks(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package from where the driver has it, if nothing else does."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), _ROOT])
+    return spark

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martforge.llm import python_tasks
 from martforge.llm.shingles import batches_of
 
 # Letters and numbers up to U+024F, as the splitting pattern's \p{L} and \p{N} have them; texts with other characters
@@ -321,6 +322,7 @@ def encoder(path: str, lexicon: bytes, key: str) -> Encoder:
 
 def word_counts(docs: DataFrame, text_col: str, path: str) -> DataFrame:
     """``word, n`` of all words of all texts."""
+    python_tasks(docs.sparkSession)
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
     empty = compile_lexicon([], [])
 
@@ -371,6 +373,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", into: s
     """
     if lexicon is None:
         lexicon = frequent_lexicon(docs, text_col, path)
+    python_tasks(docs.sparkSession)
     names = [c for c in docs.columns if c != into]
     shared, key = docs.sparkSession.sparkContext.broadcast(lexicon), str(hash(lexicon))
 
@@ -387,6 +390,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", into: s
 
 def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids", into: str = "text") -> DataFrame:
     """``encoded`` with the texts of its ids in ``into``; null ids give null, no ids the empty text."""
+    python_tasks(encoded.sparkSession)
     names = [c for c in encoded.columns if c != into]
 
     def task(batches):

@@ -19,9 +19,11 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
     edge = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     edge = materialize(edge, "components")
     for _ in range(rounds):
-        # stars only: each child has one parent, and no parent is a child
-        if edge.groupBy("u").count().filter("count > 1").isEmpty() and \
-                edge.select("v").join(edge.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+        # Stars only: each child has one parent, and no parent is a child.
+        ends = (edge.select(F.col("u").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("parent"))
+                .unionByName(edge.select(F.col("v").alias("x"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
+                .groupBy("x").agg(F.sum("child").alias("child"), F.max("parent").alias("parent")))
+        if ends.filter("child + parent > 1").isEmpty():
             return edge.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 edge.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         both = edge.unionByName(edge.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -27,16 +27,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martforge.llm import python_tasks
 from martforge.llm.graph import connected_components
-from martforge.llm.rounds import linked_in_rounds
+from martforge.llm.rounds import linked_in_rounds, near
 from martforge.llm.shingles import WordHashes, as_long, batches_of, mixed, shingle_set
 from martforge.session import materialize
 
-#: Counters of the sketch; 1 MB once reduced to size classes.
-SKETCH_BITS = 20
+#: Counters of the sketch; 8 MB.
+SKETCH_BITS = 21
 BLOCK_BITS = 16
-#: Broadcast at most so many class keys (8 bytes each); beyond it they are joined by shuffle.
-BROADCAST_KEYS = 2_000_000
 ORDER_SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
 
 
@@ -51,7 +50,7 @@ def _counting(k: int, seed: int):
                         ("block", pa.int32()), ("counts", pa.binary())])
 
     def task(batches):
-        hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
+        hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
 
         def rows():
             for batch in batches:
@@ -82,19 +81,24 @@ def _summing(batches):
     yield from batches_of(({"block": b, "counts": x.tobytes()} for b, x in total.items()), schema, 4)
 
 
-def size_classes(parts) -> np.ndarray:
-    """Half powers of two of each counter, as bytes."""
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+def sketch_of(parts) -> np.ndarray:
+    counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     for block, part in parts:
-        counts[block << BLOCK_BITS:(block + 1) << BLOCK_BITS] = np.frombuffer(bytes(part), np.int64)
-    return (2 * np.log2(counts + 1)).astype(np.uint8)
+        sums = np.minimum(np.frombuffer(bytes(part), np.int64), (1 << 32) - 1)
+        counts[block << BLOCK_BITS:(block + 1) << BLOCK_BITS] = sums.astype(np.uint32)
+    return counts
 
 
-def prefix(s: np.ndarray, size_class: np.ndarray, order: int, num: int, den: int) -> np.ndarray:
-    """The shingles that come first under an order; ties of its keys fall to the smaller shingle."""
+def prefix(s: np.ndarray, sketch: np.ndarray, order: int, num: int, den: int) -> np.ndarray:
+    """The shingles that come first under an order; ties of its keys fall to the smaller shingle.
+
+    The first order follows the counts themselves, so that what a text has for itself comes first; the others follow
+    half powers of two of the counts, so that their hashes can tell.
+    """
     length = len(s) - required(len(s), num, den) + 1
-    rank = size_class[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
-    key = (rank << np.uint64(56)) | (mixed(s ^ np.uint64(ORDER_SEEDS[order])) >> np.uint64(8))
+    count = sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+    rank = count.astype(np.uint64) if order == 0 else (2 * np.log2(count + 1.0)).astype(np.uint64)
+    key = (rank << np.uint64(32)) | (mixed(s ^ np.uint64(ORDER_SEEDS[order])) >> np.uint64(32))
     return s[np.argsort(key, kind="stable")[:length]]
 
 
@@ -102,12 +106,12 @@ def fingerprints(s: np.ndarray) -> bytes:
     return np.unique((mixed(s) >> np.uint64(48)).astype("<u2")).tobytes()
 
 
-def _prefixes(k: int, seed: int, num: int, den: int, size_class):
+def _prefixes(k: int, seed: int, num: int, den: int, shared):
     schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())),
                         ("second", pa.binary()), ("third", pa.binary())])
 
     def task(batches):
-        hashes, ranks, done = WordHashes(), size_class.value, set()
+        hashes, sketch, done = WordHashes(), shared.value, set()
 
         def rows():
             for batch in batches:
@@ -118,9 +122,9 @@ def _prefixes(k: int, seed: int, num: int, den: int, size_class):
                         continue
                     if len(done) < 200_000:
                         done.add(cls)
-                    yield {"cls": cls, "n": len(s), "tokens": prefix(s, ranks, 0, num, den).astype(np.int64),
-                           "second": fingerprints(prefix(s, ranks, 1, num, den)),
-                           "third": fingerprints(prefix(s, ranks, 2, num, den))}
+                    yield {"cls": cls, "n": len(s), "tokens": prefix(s, sketch, 0, num, den).astype(np.int64),
+                           "second": fingerprints(prefix(s, sketch, 1, num, den)),
+                           "third": fingerprints(prefix(s, sketch, 2, num, den))}
 
         yield from batches_of(rows(), schema, 500)
 
@@ -162,7 +166,7 @@ def jaccard_links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFram
     The links are a part of all similar pairs that reaches the same components: pairs inside a component that is
     already known are not compared. ``docs`` has doc_id, text.
     """
-    spark = docs.sparkSession
+    spark = python_tasks(docs.sparkSession)
     docs = docs.withColumn("text_key", F.xxhash64("text"))
     for seed in count(1):
         counted = materialize(docs.mapInArrow(
@@ -171,14 +175,15 @@ def jaccard_links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFram
         rows = counted.filter("n is not null").select("doc_id", "text_key", "n", "cls", "other")
         classes = rows.groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"),
                                           F.min("other").alias("x"), F.max("other").alias("y"))
+        classes = materialize(classes, "ngram-classes")
         if classes.filter("x <> y").isEmpty():  # else two sets have the same key: draw new ones
             break
     sums = (counted.filter("block is not null").select("block", "counts").repartition("block")
-            .mapInArrow(_summing, "block int, counts binary").collect())  # 16 blocks, 8 MB
-    ranks = spark.sparkContext.broadcast(size_classes([(r["block"], r["counts"]) for r in sums]))
+            .mapInArrow(_summing, "block int, counts binary").collect())  # 32 blocks, 16 MB
+    sketch = spark.sparkContext.broadcast(sketch_of([(r["block"], r["counts"]) for r in sums]))
 
     prefixes = materialize(docs.select("text").mapInArrow(
-        _prefixes(k, seed, num, den, ranks), "cls long, n long, tokens array<long>, second binary, third binary"),
+        _prefixes(k, seed, num, den, sketch), "cls long, n long, tokens array<long>, second binary, third binary"),
         "ngram-prefixes")
     members = prefixes.select(F.explode("tokens").alias("token"), F.col("cls").alias("node"), "n")
     members = members.repartition("token").groupBy("token", "node").agg(F.min("n").alias("n"))
@@ -187,22 +192,21 @@ def jaccard_links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFram
     return rows, classes, linked_in_rounds(members, fits, similar, "ngram")
 
 
-def _near(keys: DataFrame) -> DataFrame:
-    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-
-
 def _similar(docs, classes, prefixes, pairs, k, num, den) -> DataFrame:
     """The pairs that pass the other two orders and then the comparison of whole texts."""
-    involved = materialize(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "ngram-involved")
-    signs = (prefixes.join(_near(involved), "cls", "left_semi").groupBy("cls")
-             .agg(F.first("second").alias("second"), F.first("third").alias("third")))
+    size = pairs.count()
+    if not size:
+        return pairs
+    ends = lambda frame: frame.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     side = lambda frame, key, names: frame.select(F.col("cls").alias(key), *[F.col(c).alias(c + key) for c in names])
-    passed = materialize(pairs.join(side(signs, "b", ["second", "third"]), "b").join(side(signs, "a", ["second", "third"]), "a")
-                         .mapInArrow(_filtering, "a long, b long"), "ngram-passed")
-
-    wanted = materialize(passed.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-                         .join(classes.select("cls", "text_key"), "cls"), "ngram-wanted")
-    texts = materialize(docs.join(_near(wanted), "text_key").groupBy("cls").agg(F.first("text").alias("text")), "ngram-texts")
+    signs = (prefixes.select("cls", "second", "third").join(near(ends(pairs), 2 * size), "cls", "left_semi")
+             .groupBy("cls").agg(F.first("second").alias("second"), F.first("third").alias("third")))
+    passed = (pairs.join(side(signs, "b", ["second", "third"]), "b").join(side(signs, "a", ["second", "third"]), "a")
+              .mapInArrow(_filtering, "a long, b long"))
+    passed = materialize(passed, "ngram-passed")
+    wanted = ends(passed).join(classes.select("cls", "text_key"), "cls")
+    texts = docs.join(near(wanted, 2 * size), "text_key").groupBy("cls").agg(F.first("text").alias("text"))
+    texts = materialize(texts, "ngram-texts")
     return (passed.join(side(texts, "b", ["text"]), "b").join(side(texts, "a", ["text"]), "a")
             .select("a", "b", "texta", "textb").mapInArrow(_verifying(k, num, den), "a long, b long"))
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from martforge.llm import python_tasks
 from martforge.session import materialize
 
 #: ASCII characters counted one by one (all but letters and digits); letters, digits and other bytes are counted as groups.
@@ -103,6 +104,7 @@ class QualityModel:
 
     def score(self, docs: DataFrame, text_col: str = "text", into: str = "score") -> DataFrame:
         """``docs`` with the score (0 to 1) of its texts; null and empty texts get that of a text without words."""
+        python_tasks(docs.sparkSession)
         w, mean, scale = self.w, self.mean, self.scale
         names = [c for c in docs.columns if c != into]
 
@@ -128,6 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     label 1 among the labelled rows where it is not given. Null labels, ids and labels without a document are not
     used; several labels of one id count each. Without a positive nothing can be learned: every text scores the prior.
     """
+    python_tasks(docs.sparkSession)
     labels = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).dropna()
     share = labels.agg(F.sum("_y").alias("ones"), F.count("_y").alias("n")).first()
     if prior is None:

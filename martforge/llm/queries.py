@@ -10,12 +10,28 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.shard import shuffle_into_shards
+    from martforge.session import scratch_path
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    return shuffle_into_shards(docs, scratch_path(spark, "shards"), shards=8).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.llm.ngram_join import jaccard_components
     found = jaccard_components(_read(spark, sf_dir, "documents"), k=3, num=90, den=100)
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.token_files import token_digests
+    return token_digests(_read(spark, sf_dir, "documents"), vocabulary_path(), end_id=2)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.llm.exact_dedup import exact_dedup
     return exact_dedup(_read(spark, sf_dir, "documents"))
@@ -61,7 +77,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_shard": op1_shard,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_token_files": op3_token_files,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_bpe": op8_bpe,
