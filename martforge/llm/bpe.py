@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from martforge.llm import python_tasks
 from martforge.llm.shingles import batches_of
+from martforge.session import materialize
 
 # Letters and numbers up to U+024F, as the splitting pattern's \p{L} and \p{N} have them; texts with other characters
 # beyond ASCII (see _OTHER) are split by the tokenizers library itself.
@@ -355,11 +356,18 @@ def word_counts(docs: DataFrame, text_col: str, path: str) -> DataFrame:
 
 
 def frequent_lexicon(docs: DataFrame, text_col: str, path: str, words: int = 65_536) -> bytes:
-    """Lexicon of the corpus' most frequent words (ties: the smaller bytes first). ``words`` bounds it, about 5 MB."""
-    top = [bytes(r["word"]) for r in word_counts(docs, text_col, path).orderBy(F.desc("n"), "word").limit(words).collect()]
-    vocabulary = Vocabulary(path)
-    ids = [x for at in range(0, len(top), 20_000) for x in vocabulary.merge(top[at:at + 20_000])]
-    return compile_lexicon(top, ids)
+    """Lexicon of the corpus' most frequent words: all that occur at least c times, for the smallest c (2 or more)
+    that leaves at most ``words`` of them. ``words`` bounds what the driver gets and the lexicon, about 5 MB."""
+    counts = materialize(word_counts(docs, text_col, path).filter("n > 1"), "word-counts")
+    most = 100_000  # counts from here on are one bar of the histogram
+    bars = counts.groupBy(F.least("n", F.lit(most)).alias("n")).agg(F.count(F.lit(1)).alias("words")).collect()
+    least, total = most + 1, 0
+    for n, more in sorted(((r["n"], r["words"]) for r in bars), reverse=True):
+        if total + more > words:
+            break
+        least, total = n, total + more
+    top = [bytes(r["word"]) for r in counts.filter(F.col("n") >= least).select("word").collect()]
+    return compile_lexicon(top, Vocabulary(path).merge(top))
 
 
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text", into: str = "ids",
