@@ -37,6 +37,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.substring_dedup import repeated_passages
+    return repeated_passages(_read(spark, sf_dir, "documents"), least=50, similarity=0.8)
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.chat import format_chats
+    return format_chats(_read(spark, sf_dir, "conversations"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.llm.line_dedup import fuzzy_line_dedup
     found = fuzzy_line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -81,6 +91,8 @@ QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_token_files": op3_token_files,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_passages": op5_passages,
+    "op6_chat": op6_chat,
     "op7_line_dedup": op7_line_dedup,
     "op8_bpe": op8_bpe,
     "op9_decontaminate": op9_decontaminate,
