@@ -8,11 +8,12 @@ built once per source fingerprint and reused, as reports over a warehouse are.
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import os
 import threading
-import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +22,13 @@ from martforge.operators.combine import side_by_side
 from martforge.plans import audit, checks, marts, reconcile, views
 from martforge.plans.dims import build_dim_customer, build_dim_date, build_dim_product
 from martforge.plans.facts import build_fact_sales
+from martforge.plans.incremental import BEGINNING, customer_history, load_orders
 from martforge.plans.staging import Staging, derived_staging, mutated_staging
 from martforge.plans.warehouse import Warehouse, build, check_tables
-from martforge.session import scratch_root
+from martforge.schemas import STG_PRODUCTS
+from martforge.session import materialize, scratch_path, scratch_root
 from martforge.sources import tpch
+from martforge.sources.extracts import read_extract, write_extract
 
 SOURCE_TABLES = ("customer", "nation", "region", "part", "orders", "lineitem")
 
@@ -43,30 +47,24 @@ def _code_hash() -> str:
     return h.hexdigest()[:12]
 
 
-_FP_TTL_SEC = 60.0
-_FP_CACHE: dict[tuple, tuple[float, str]] = {}
-
-
 def source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Identity of the inputs: file names, sizes, modification times, code version.
 
-    Re-listed at most once a minute per session and folder.
+    Every table, a single file or a folder of part files, is listed anew and
+    aggregated in Spark to one row; a table without files raises.
     """
-    key = (_app_id(spark), sf_dir)
-    hit = _FP_CACHE.get(key)
-    if hit and time.time() - hit[0] < _FP_TTL_SEC:
-        return hit[1]
-    fp = _list_fingerprint(spark, sf_dir)
-    _FP_CACHE[key] = (time.time(), fp)
-    return fp
-
-
-def _list_fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-               .load(sf_dir).select("path", "length", "modificationTime"))
-    wanted = {f"{t}.parquet" for t in SOURCE_TABLES}
-    rows = sorted((r["path"].rsplit("/", 1)[-1], r["length"], str(r["modificationTime"]))
-                  for r in listing.collect() if r["path"].rsplit("/", 1)[-1] in wanted)
+    parts = []
+    for t in SOURCE_TABLES:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .load(f"{sf_dir}/{t}.parquet").select("path", "length", "modificationTime"))
+        parts.append(files.agg(
+            F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+            F.bit_xor(F.xxhash64(F.substring_index("path", "/", -1), "length", "modificationTime")).alias("hash"),
+        ).select(F.lit(t).alias("name"), "files", "bytes", "hash"))
+    rows = sorted(tuple(r) for r in reduce(DataFrame.unionByName, parts).collect())
+    empty = [name for name, files, _, _ in rows if not files]
+    if empty:
+        raise FileNotFoundError(f"no files of {', '.join(empty)} under {sf_dir}")
     return hashlib.sha1(repr((rows, _code_hash())).encode()).hexdigest()[:16]
 
 
@@ -124,6 +122,35 @@ def q_fact_sales(spark, sf_dir):
                             build_dim_product(s.products), build_dim_date(s.orders))
 
 
+def q_fact_sales_incremental(spark, sf_dir):
+    """The fact loaded up to the middle of the calendar, then the rest after that watermark."""
+    s = _stg(spark, sf_dir)
+    dims = [materialize(d, "dims") for d in (build_dim_customer(s.customers), build_dim_product(s.products),
+                                             build_dim_date(s.orders))]
+    span = dims[2].agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi")).first()
+    middle = span["lo"] + (span["hi"] - span["lo"]) / 2
+    fact = materialize(load_orders(None, s.orders, s.order_items, *dims, upto=middle), "fact-first")
+    more = load_orders(fact, s.orders, s.order_items, *dims, after=middle)
+    return fact.unionByName(more).drop("sales_key")
+
+
+def q_dim_customer_scd2(spark, sf_dir):
+    """Customer history after two snapshots: some customers moved, some left in between."""
+    first = _stg(spark, sf_dir).customers
+    second = (first.where("customer_id % 50 <> 7")
+              .withColumn("city", F.when(F.col("customer_id") % 10 == 3,
+                                         F.concat(F.coalesce("city", F.lit("Unknown")), F.lit(" (moved)")))
+                          .otherwise(F.col("city"))))
+    return customer_history(customer_history(None, first, BEGINNING), second, datetime.date(1998, 1, 1))
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """Staged products written as CSV extract and read back by header name."""
+    path = scratch_path(spark, "products.csv")
+    write_extract(_stg(spark, sf_dir).products, path)
+    return read_extract(spark, path, STG_PRODUCTS)
+
+
 # --- report queries over the published warehouse ------------------------------------
 
 def _wh(spark, sf_dir) -> Warehouse:
@@ -232,10 +259,8 @@ def q_recon_display(spark, sf_dir):
 
 
 def q_wh_coverage(spark, sf_dir):
-    fact = _wh(spark, sf_dir).table("fact_sales")
-    return fact.agg(F.count_distinct("customer_key").cast("bigint").alias("distinct_customers"),
-                    F.count_distinct("product_key").cast("bigint").alias("distinct_products"),
-                    F.count_distinct("date_key").cast("bigint").alias("distinct_dates"))
+    return marts.distinct_counts(_wh(spark, sf_dir).table("fact_sales"), {
+        "customer_key": "distinct_customers", "product_key": "distinct_products", "date_key": "distinct_dates"})
 
 
 def _report(wh: Warehouse, mutated: bool = False) -> DataFrame:
@@ -281,6 +306,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_product": q_dim_product,
     "dim_date": q_dim_date,
     "fact_sales": q_fact_sales,
+    "fact_sales_incremental": q_fact_sales_incremental,
+    "dim_customer_scd2": q_dim_customer_scd2,
+    "csv_roundtrip": q_csv_roundtrip,
     "row_counts": q_row_counts,
     "dq_duplicate_customers": _single("duplicate_customer_ids"),
     "dq_missing_city": _single("missing_customer_cities"),

@@ -20,9 +20,8 @@ from martforge.session import materialize
 import math
 
 _POS_BITS = 33
-# Target rows per range partition of the key build; an upper bound of the input
-# row count (``row_hint``) sizes the partition count so partitions stay within
-# executor memory whatever the data volume.
+# Target rows per range partition of the key build, so that partitions stay
+# within executor memory whatever the data volume.
 ROWS_PER_PARTITION_CONF = "martforge.denseKey.rowsPerPartition"
 ROWS_PER_PARTITION = 4_000_000
 _ROW = "_mf_row"
@@ -30,25 +29,25 @@ _PART = "_mf_part"
 _OFFSET = "_mf_offset"
 
 
-def partitions_for(spark, row_hint: int | None) -> int:
-    """Range partitions for ``row_hint`` rows: at least the shuffle partitions."""
+def partitions_for(spark, rows: int) -> int:
+    """Range partitions for so many rows: at least the shuffle partitions."""
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if not row_hint:
-        return base
     per = int(spark.conf.get(ROWS_PER_PARTITION_CONF, str(ROWS_PER_PARTITION)))
-    return max(base, math.ceil(row_hint / per))
+    return max(base, math.ceil(rows / per))
 
 
 def dense_key(df: DataFrame, order_cols: list[str], name: str,
-              num_partitions: int | None = None, row_hint: int | None = None) -> DataFrame:
+              num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1..N following ``order_cols`` ascending, NULLs last.
 
     ``order_cols`` must order the rows totally, up to rows that are identical
     in the output; otherwise keys of tied rows are not reproducible.
-    ``row_hint`` (an upper bound of the row count) sizes the range partitions.
+    The input is stored first: drawing the range bounds and dealing the rows
+    out both read it, and the joins that made it run once. Its row count, read
+    from the files' footers, sizes the range partitions.
     """
-    spark = df.sparkSession
-    n = num_partitions or partitions_for(spark, row_hint)
+    df = materialize(df, f"dense-key-{name}-input")
+    n = num_partitions or partitions_for(df.sparkSession, df.count())
     order = [F.col(c).asc_nulls_last() for c in order_cols]
     tagged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martforge.functions.expr import safe_ratio, to_total
+from martforge.operators.combine import side_by_side
 from martforge.operators.joins import fits_broadcast, sized_broadcast
 
 
@@ -28,13 +29,9 @@ def _orders() -> Column:
     return F.count_distinct("order_id").cast("bigint").alias("total_orders")
 
 
-def measures(fact: DataFrame, by: list[str] | None = None, with_entities: bool = False) -> DataFrame:
+def measures(fact: DataFrame, by: list[str]) -> DataFrame:
     """Total sales / quantity / orders, average order value and selling price, per ``by``."""
-    aggs = [_sales(), _qty(), _orders()]
-    if with_entities:
-        aggs += [F.count_distinct("customer_key").cast("bigint").alias("total_customers"),
-                 F.count_distinct("product_key").cast("bigint").alias("total_products")]
-    grouped = fact.groupBy(*(by or [])).agg(*aggs)
+    grouped = fact.groupBy(*by).agg(_sales(), _qty(), _orders())
     return grouped.select(
         "*",
         safe_ratio(F.col("total_sales"), F.col("total_orders")).alias("avg_order_value"),
@@ -42,10 +39,23 @@ def measures(fact: DataFrame, by: list[str] | None = None, with_entities: bool =
     )
 
 
+def distinct_counts(fact: DataFrame, names: dict[str, str]) -> DataFrame:
+    """One row with the exact distinct count of each column, as ``names[column]``.
+
+    One aggregate per column: several distincts in one would multiply every row.
+    """
+    return side_by_side([fact.agg(F.count_distinct(c).cast("bigint").alias(n)) for c, n in names.items()]).select(
+        *names.values())
+
+
 def kpi_measures(fact: DataFrame) -> DataFrame:
-    return measures(fact, [], with_entities=True).select(
+    sums = fact.agg(_sales(), _qty())
+    counts = distinct_counts(fact, {"order_id": "total_orders", "customer_key": "total_customers",
+                                    "product_key": "total_products"})
+    return side_by_side([sums, counts]).select(
         "total_sales", "total_quantity", "total_orders", "total_customers", "total_products",
-        "avg_order_value", "avg_selling_price")
+        safe_ratio(F.col("total_sales"), F.col("total_orders")).alias("avg_order_value"),
+        safe_ratio(F.col("total_sales"), F.col("total_quantity")).alias("avg_selling_price"))
 
 
 def additive_by(fact: DataFrame, dim: DataFrame, key: str, attrs: list[str]) -> DataFrame:
@@ -68,49 +78,46 @@ def revenue_by_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 def monthly_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     cal = sized_broadcast(dim_date.select("date_key", "year", "month", "month_name"), size_of=dim_date)
-    per_day = fact.groupBy("date_key").agg(F.sum("sales_amount").alias("sales_amount"),
-                                           F.sum("quantity").alias("quantity"),
-                                           F.count_distinct("order_id").alias("orders"))
-    # an order has one date, so distinct orders per day add up to distinct orders per month
-    return (per_day.join(cal, "date_key")
-            .groupBy("year", "month", "month_name")
-            .agg(_sales(), _qty(), F.sum("orders").cast("bigint").alias("total_orders")))
+    return (fact.select("date_key", "order_id", "sales_amount", "quantity").join(cal, "date_key")
+            .groupBy("year", "month", "month_name").agg(_sales(), _qty(), _orders()))
 
 
 def quarterly_growth(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    cal = sized_broadcast(dim_date.select("date_key", "year", "quarter"), size_of=dim_date)
+    """Sales of every quarter of the calendar, also those without any, next to the quarter before."""
     per_day = fact.groupBy("date_key").agg(F.sum("sales_amount").alias("sales_amount"))
-    q = per_day.join(cal, "date_key").groupBy("year", "quarter").agg(
-        to_total(F.sum("sales_amount")).alias("total_sales"))
+    q = (dim_date.select("date_key", "year", "quarter").join(per_day, "date_key", "left")
+         .groupBy("year", "quarter").agg(to_total(F.sum("sales_amount")).alias("total_sales")))
     prev = F.lag("total_sales").over(Window.orderBy("year", "quarter"))
     return q.select("year", "quarter", "total_sales", prev.alias("prev_total_sales")).select(
         "*", F.try_divide(F.col("total_sales").cast("double") - F.col("prev_total_sales").cast("double"),
                           F.col("prev_total_sales").cast("double")).alias("qoq_growth"))
 
 
-def _per_customer(fact: DataFrame) -> DataFrame:
-    """Sales and distinct orders per customer; an order belongs to one customer,
-    so these add up exactly to any customer attribute."""
-    return fact.groupBy("customer_key").agg(F.sum("sales_amount").alias("sales_amount"),
-                                            F.count_distinct("order_id").alias("orders"))
+def _by_customer(fact: DataFrame, dim_customer: DataFrame, attr: str) -> DataFrame:
+    """Sales, distinct orders and distinct customers per customer attribute.
+
+    Lines become one row per (attribute, customer, order), then one per
+    (attribute, order) and one per (attribute, customer): each distinct count
+    is the number of such rows, and no line is multiplied.
+    """
+    per = fact.groupBy("customer_key", "order_id").agg(F.sum("sales_amount").alias("sales_amount"))
+    per = per.join(dim_customer.select("customer_key", attr), "customer_key")
+    orders = (per.groupBy(attr, "order_id").agg(F.sum("sales_amount").alias("sales_amount"))
+              .groupBy(attr).agg(to_total(F.sum("sales_amount")).alias("total_sales"),
+                                 F.count("order_id").cast("bigint").alias("total_orders")))
+    customers = (per.groupBy(attr, "customer_key").agg(F.lit(1).alias("one"))
+                 .groupBy(F.col(attr).alias("_attr")).agg(F.count(F.lit(1)).cast("bigint").alias("total_customers")))
+    return orders.join(customers, F.col(attr).eqNullSafe(F.col("_attr"))).drop("_attr")
 
 
 def revenue_by_state(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    lookup = dim_customer.select("customer_key", "state")
-    per = _per_customer(fact).join(lookup, "customer_key")
-    st = per.groupBy("state").agg(to_total(F.sum("sales_amount")).alias("total_sales"),
-                                  F.sum("orders").cast("bigint").alias("total_orders"),
-                                  F.count(F.lit(1)).cast("bigint").alias("total_customers"))
+    st = _by_customer(fact, dim_customer, "state")
     rank = F.row_number().over(Window.orderBy(F.col("total_sales").desc(), F.col("state").asc_nulls_last()))
-    return st.select("*", rank.cast("bigint").alias("revenue_rank"))
+    return st.select("state", "total_sales", "total_orders", "total_customers", rank.cast("bigint").alias("revenue_rank"))
 
 
 def city_performance(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    lookup = dim_customer.select("customer_key", "city")
-    per = _per_customer(fact).join(lookup, "customer_key")
-    return per.groupBy("city").agg(F.sum("orders").cast("bigint").alias("total_orders"),
-                                   F.count(F.lit(1)).cast("bigint").alias("total_customers"),
-                                   to_total(F.sum("sales_amount")).alias("total_sales"))
+    return _by_customer(fact, dim_customer, "city").select("city", "total_orders", "total_customers", "total_sales")
 
 
 def customer_acquisition(dim_customer: DataFrame) -> DataFrame:

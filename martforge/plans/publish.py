@@ -49,17 +49,22 @@ class Store:
     def commits(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(f"{self.root}/{COMMITS}")
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def current(self, fingerprint: str | None = None) -> str | None:
-        """Newest committed run id (optionally only runs built from ``fingerprint``)."""
+        """Run id committed last (optionally only runs built from ``fingerprint``).
+
+        The time of the commit decides, not the name or start of the run.
+        """
         log = self.commits()
         if log is None:
             return None
         if fingerprint is not None:
             log = log.where(F.col("fingerprint") == fingerprint)
-        return log.agg(F.max("run_id")).first()[0]
+        return log.agg(F.max(F.struct("committed_at", "run_id")).alias("last")).select("last.run_id").first()[0]
 
     def read(self, table: str, run_id: str | None = None) -> DataFrame:
         rid = run_id or self.current()

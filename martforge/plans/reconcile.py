@@ -19,13 +19,17 @@ from martforge.schemas import TOTAL
 
 def valid_source_lines(stg: Staging, dim_customer: DataFrame, dim_product: DataFrame,
                        dim_date: DataFrame) -> DataFrame:
-    """Staged lines that qualify for the fact: the star join with quantity > 0."""
+    """Staged lines that qualify for the fact: the star join with quantity > 0.
+
+    Customer and day are looked up for orders, of which there are fewer than
+    lines, so that lines are shuffled for their order and product only.
+    """
     items = stg.order_items.where(F.col("quantity") > 0).select("order_id", "product_id", "quantity", "unit_price")
-    orders = stg.orders.select("order_id", "customer_id", "order_date")
-    return (items.join(orders, "order_id")
-                 .join(dim_customer.select("customer_id"), "customer_id")
-                 .join(dim_product.select("product_id"), "product_id")
-                 .join(dim_date.select(F.col("full_date").alias("order_date")), "order_date"))
+    orders = (stg.orders.select("order_id", "customer_id", "order_date")
+              .join(dim_customer.select("customer_id"), "customer_id")
+              .join(dim_date.select(F.col("full_date").alias("order_date")), "order_date")
+              .select("order_id"))
+    return items.join(dim_product.select("product_id"), "product_id").join(orders, "order_id")
 
 
 def source_totals(stg: Staging, dim_customer: DataFrame, dim_product: DataFrame,

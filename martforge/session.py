@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,8 +42,9 @@ def scratch_root(spark: SparkSession) -> str:
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (or the
     one set with ``setCheckpointDir``), which every executor can reach. Only
-    when the session names none (local tests) is a fresh local folder created
-    and registered as the checkpoint dir.
+    when the session names none and runs in one JVM (master ``local[...]``) is
+    a fresh local folder created and registered as the checkpoint dir; on a
+    cluster a missing setting raises.
     """
     try:
         sc = spark.sparkContext
@@ -57,6 +59,8 @@ def scratch_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = sc.applicationId
     if app not in _LOCAL_SCRATCH:
         path = tempfile.mkdtemp(prefix="martforge-scratch-")

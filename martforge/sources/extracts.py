@@ -6,7 +6,9 @@ part files (what ``write_extract`` produces), each with a header line.
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,10 @@ from martforge.plans.staging import Staging
 from martforge.schemas import RAW_FILES, STAGING
 
 
+#: Different headers that the part files of one extract may have.
+MOST_HEADERS = 20
+
+
 class SourceError(ValueError):
     """The source folder does not meet the extract contract."""
 
@@ -52,15 +58,36 @@ def list_extracts(spark: SparkSession, source_dir: str) -> dict[str, int]:
         return rel.split("/", 1)[0]
 
     sizes: dict[str, int] = {name_of(p): 0 for p in listing.inputFiles()}
-    for r in listing.select("path", "length").collect():
-        n = name_of(r["path"])
-        sizes[n] = sizes.get(n, 0) + int(r["length"])
+    # one row per extract
+    name = F.regexp_extract("path", r"/([^/]+\.csv)(?:/.*)?$", 1)
+    for r in listing.groupBy(name.alias("name")).agg(F.sum("length").alias("bytes")).collect():
+        sizes[r["name"]] = int(r["bytes"])
     return sizes
 
 
-def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the header line as written (an empty file has none)."""
-    return list(spark.read.option("header", True).csv(path).columns)
+def _files_by_header(spark: SparkSession, path: str) -> DataFrame:
+    """``header, file`` of every part file of an extract (files without a line have none).
+
+    The first line of a file is the one read first in its first block.
+    """
+    lines = (spark.read.option("recursiveFileLookup", "true").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("block")).where("block = 0"))
+    return (lines.withColumn("at", F.monotonically_increasing_id()).groupBy("file")
+            .agg(F.min_by("value", "at").alias("header")))
+
+
+def header_lines(spark: SparkSession, path: str) -> list[str]:
+    """The distinct header lines of an extract's part files: one, unless their writers differ."""
+    rows = _files_by_header(spark, path).select("header").distinct().limit(MOST_HEADERS + 1).collect()
+    if len(rows) > MOST_HEADERS:
+        raise SourceError(f"{path}: more than {MOST_HEADERS} different headers; are the header lines missing?")
+    return sorted(r["header"] for r in rows)
+
+
+def columns_of(header: str) -> list[str]:
+    """Column names of a header line as written."""
+    return next(csv.reader([header]), [])
 
 
 def check_extract(spark: SparkSession, source_dir: str, name: str, sizes: dict[str, int]) -> ExtractStatus:
@@ -70,9 +97,9 @@ def check_extract(spark: SparkSession, source_dir: str, name: str, sizes: dict[s
         return ExtractStatus(name, False, 0, tuple(expected), ())
     if sizes[name] == 0:
         return ExtractStatus(name, True, 0, tuple(expected), ())
-    header = [h.strip() for h in header_columns(spark, f"{source_dir.rstrip('/')}/{name}")]
-    missing = tuple(c for c in expected if c not in header)
-    extra = tuple(c for c in header if c not in expected)
+    headers = [[c.strip() for c in columns_of(h)] for h in header_lines(spark, f"{source_dir.rstrip('/')}/{name}")]
+    missing = tuple(c for c in expected if any(c not in h for h in headers) or not headers)
+    extra = tuple(dict.fromkeys(c for h in headers for c in h if c not in expected))
     return ExtractStatus(name, True, sizes[name], missing, extra)
 
 
@@ -97,24 +124,33 @@ def validate_source(spark: SparkSession, source_dir: str) -> list[ExtractStatus]
 
 
 def read_extract(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed read that maps columns by header name, not by position.
-
-    The file schema is built in header order (contract types for contract
-    columns, string for extras), so the positional CSV reader lines up; then
-    the contract columns are selected in contract order. FAILFAST makes a
-    malformed value raise once the column is parsed (the ingest writes every
-    column, so every value is parsed).
+    """Typed read that maps columns by the header name of each part file, not by position.
+
+    Files of one header are read together: the file schema is built in header
+    order (contract types for contract columns, string for extras), so the
+    positional CSV reader lines up; then the contract columns are selected in
+    contract order. FAILFAST makes a malformed value raise once the column is
+    parsed (the ingest writes every column, so every value is parsed). Only
+    where part files differ in their headers are files listed by name.
     """
-    raw = header_columns(spark, path)
+    headers = header_lines(spark, path)
     wanted = {f.name: f.dataType for f in schema.fields}
-    file_schema = T.StructType([T.StructField(h, wanted.get(h.strip(), T.StringType()), True) for h in raw])
-    by_name = {h.strip(): h for h in raw}
-    missing = [c for c in wanted if c not in by_name]
-    if missing:
-        raise SourceError(f"{path}: missing columns {missing}")
-    df = (spark.read.schema(file_schema).option("header", True).option("mode", "FAILFAST")
-          .option("enforceSchema", True).csv(path))
-    return df.select(*[F.col(f"`{by_name[c]}`").alias(c) for c in wanted])
+    parts = []
+    for header in headers:
+        raw = columns_of(header)
+        by_name = {h.strip(): h for h in raw}
+        missing = [c for c in wanted if c not in by_name]
+        if missing:
+            raise SourceError(f"{path}: missing columns {missing}")
+        file_schema = T.StructType([T.StructField(h, wanted.get(h.strip(), T.StringType()), True) for h in raw])
+        files = [path] if len(headers) == 1 else [
+            r["file"] for r in _files_by_header(spark, path).where(F.col("header") == header).collect()]
+        df = (spark.read.schema(file_schema).option("header", True).option("mode", "FAILFAST")
+              .option("enforceSchema", True).csv(files))
+        parts.append(df.select(*[F.col(f"`{by_name[c]}`").alias(c) for c in wanted]))
+    if not parts:
+        raise SourceError(f"{path}: empty")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def ingest(spark: SparkSession, source_dir: str) -> Staging:

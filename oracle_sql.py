@@ -244,6 +244,7 @@ CHECKS = [
     ("unit_price_mismatches", "staging", "zero", False,
      _count("{items} oi JOIN stg_products p ON oi.product_id = p.product_id "
             "WHERE p.price IS NOT NULL AND oi.unit_price != p.price"), None),
+    ("duplicate_order_ids", "staging", "zero", False, _dups("stg_orders", "order_id"), None),
     ("stg_customers_rows", "staging", "positive", False, _count("{cust}"), None),
     ("stg_products_rows", "staging", "positive", False, _count("stg_products"), None),
     ("stg_orders_rows", "staging", "positive", False, _count("stg_orders"), None),
@@ -516,7 +517,7 @@ SELECT year, quarter, total_sales, prev_total_sales,
 FROM (
   SELECT year, quarter, total_sales, LAG(total_sales) OVER (ORDER BY year, quarter) AS prev_total_sales
   FROM (SELECT d.year, d.quarter, CAST(COALESCE(SUM(f.sales_amount), 0) AS DECIMAL(24,2)) AS total_sales
-        FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key
+        FROM dim_date d LEFT JOIN fact_sales f ON f.date_key = d.date_key
         GROUP BY d.year, d.quarter) q
 ) g
 """)
@@ -569,3 +570,19 @@ FROM (SELECT p.category, d.year, d.month,
       JOIN dim_date d ON f.date_key = d.date_key
       GROUP BY p.category, d.year, d.month) m
 """)
+
+ORACLE["csv_roundtrip"] = _with(["stg_products"], "SELECT * FROM stg_products")
+
+ORACLE["fact_sales_incremental"] = _with(["fact_sales"], """
+SELECT order_id, customer_key, product_key, date_key, quantity, unit_price, sales_amount FROM fact_sales
+""")
+
+ORACLE["dim_customer_scd2"] = _with(["dim_customer"], """
+SELECT customer_id, customer_name, city, state, country, signup_date, DATE '1900-01-01' AS start_date,
+       CASE WHEN customer_id % 10 = 3 OR customer_id % 50 = 7 THEN DATE '1998-01-01' END AS end_date,
+       NOT (customer_id % 10 = 3 OR customer_id % 50 = 7) AS is_current
+FROM dim_customer
+UNION ALL
+SELECT customer_id, customer_name, city || ' (moved)', state, country, signup_date, DATE '1998-01-01', NULL, TRUE
+FROM dim_customer WHERE customer_id % 10 = 3 AND customer_id % 50 <> 7
+""")

@@ -47,6 +47,6 @@ def test_dense_key_nulls_last_and_empty(spark):
 def test_partition_sizing(spark):
     from martforge.operators.keys import partitions_for
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert partitions_for(spark, None) == base
+    assert partitions_for(spark, 0) == base
     assert partitions_for(spark, 10) == base
     assert partitions_for(spark, 4_000_000 * 1000 + 1) == 1001

@@ -79,7 +79,7 @@ def test_malformed_extract_aborts_before_publish(spark, tmp_root):
 
 
 def test_fixture_expectations_pin_known_anomalies(spark, tmp_root):
-    from martforge.plans.expectations import for_fixture
+    from fixture_expectations import for_fixture
     wh = build(spark, derived_staging(spark, SF001), tmp_root, expectations=for_fixture(SF001))
     rep = {r["check"]: r for r in wh.store.read("validation_report", wh.run_id).collect()}
     assert rep["invalid_quantities"]["status"] == "WARN" and rep["invalid_quantities"]["expected"] == "39"
