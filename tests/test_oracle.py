@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+import oracle_sql
 from conftest import SF001
+from martforge import catalog
 from oracle_compare import compare, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,8 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracle_sql.ORACLE)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(oracle_sql.ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
