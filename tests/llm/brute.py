@@ -42,12 +42,13 @@ def jaccard(rows, k, num, den):
 
 
 def simhash(words):
-    ones = [0] * 64
-    for w in words:
-        h = xxhash.xxh64_intdigest(w)
-        for i in range(64):
-            ones[i] += h >> i & 1
-    return sum(1 << i for i in range(64) if 2 * ones[i] > len(words))
+    hashes = [xxhash.xxh64_intdigest(w) for w in set(words)]
+    out = 0
+    for i in range(64):
+        ones = sum(h >> i & 1 for h in hashes)
+        if 2 * ones > len(hashes) or 2 * ones == len(hashes) and min(hashes) >> i & 1:
+            out |= 1 << i
+    return out
 
 
 def levenshtein(a, b):

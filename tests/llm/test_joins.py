@@ -61,7 +61,7 @@ def test_jaccard_repeated_and_null_ids(spark):
 def test_simhash():
     import numpy as np
     import xxhash
-    lines = [[b"a"], [b"b", b"c"], [b"w%d" % i for i in range(700)], [b"x"] * 300]
+    lines = [[b"a"], [b"b", b"c"], [b"w%d" % i for i in range(700)], [b"x%d" % i for i in range(300)]]
     words = np.array([xxhash.xxh64_intdigest(w) for x in lines for w in x], np.uint64)
     assert simhashes(words, np.array([len(x) for x in lines])).tolist() == [brute.simhash(x) for x in lines]
 
