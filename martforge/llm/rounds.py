@@ -44,8 +44,9 @@ def linked_in_rounds(members: DataFrame, fits: Callable[[str, str], Column], sim
     members = materialize(in_mixed_groups(members.withColumn("comp", F.col("node"))), f"{label}-members")
     links: list[DataFrame] = []
     for step in count():
-        size = members.groupBy("token").count().agg(F.sum(F.expr("count * (count - 1) / 2")).alias("pairs"),
-                                                    F.sum("count").alias("rows")).first()
+        size = (members.groupBy("token", "comp").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("token")
+                .agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same"))  # same: pairs of one component
+                .agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.sum("n").alias("rows")).first())
         if not size["rows"]:
             break
         every = size["pairs"] <= max(size["rows"] / 2, FEW)
