@@ -9,8 +9,13 @@ from pyspark.sql import SparkSession
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Rows that Spark hands to a Python task at once: whole texts, so far fewer than Spark's default of 10,000.
+BATCH_ROWS = "1000"
+
+
 def python_tasks(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package from where the driver has it, if nothing else does."""
+    """Lets Python workers import this package from where the driver has it, and keeps their batches small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), _ROOT])

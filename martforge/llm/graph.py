@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from martforge.session import materialize
 
+#: Up to so many edges (16 bytes each) a round's minima are broadcast.
+BROADCAST_EDGES = 1_000_000
+
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """``node, component`` of every node that has a link to another; the component is its smallest node.
@@ -18,6 +21,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
     """
     edge = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     edge = materialize(edge, "components")
+    # a round keeps or lowers the number of edges but for one a node; few of them are joined without a shuffle
+    near = F.broadcast if edge.count() <= BROADCAST_EDGES else (lambda frame: frame)
     for _ in range(rounds):
         # Stars only: each child has one parent, and no parent is a child.
         ends = (edge.select(F.col("u").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("parent"))
@@ -28,10 +33,10 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
                 edge.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         both = edge.unionByName(edge.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter("u <> v").distinct())
+        large = (both.filter("v > u").join(near(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .filter("u <> v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.join(near(least), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v")))).distinct()
         edge = materialize(small, "components")
     raise RuntimeError(f"components did not settle in {rounds} rounds")

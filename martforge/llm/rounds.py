@@ -35,7 +35,7 @@ def linked_in_rounds(members: DataFrame, fits: Callable[[str, str], Column], sim
     """Links (a, b) that reach the same components as all similar pairs of members that share a group.
 
     ``members`` has token, node, n and what ``fits(hub alias, member alias)`` needs; ``similar`` keeps the similar of
-    the pairs (a, b). In each round the first members of a group by (n, node) - 1, then 8, 64, ... - are paired with
+    the pairs (a, b). In each round the first members of a group by (n, node) - 1, then 4, 16, ... - are paired with
     its later ones, and are then done with. Members of one component are never paired: more links would not change
     it. As soon as all pairs left are few (one for two rows, or ``FEW``) they are taken at once. So a group of many
     copies costs a star, and a group of many unlike members the pairs that any exact join compares, in a logarithmic
@@ -51,7 +51,7 @@ def linked_in_rounds(members: DataFrame, fits: Callable[[str, str], Column], sim
             break
         every = size["pairs"] <= max(size["rows"] / 2, FEW)
         at = F.row_number().over(Window.partitionBy("token").orderBy("n", "node"))
-        hubs = members if every else members.withColumn("_at", at).filter(F.col("_at") <= 8 ** step).drop("_at")
+        hubs = members if every else members.withColumn("_at", at).filter(F.col("_at") <= 4 ** step).drop("_at")
         later = F.struct("h.n", "h.node") < F.struct("p.n", "p.node")
         pairs = (members.alias("p").join(hubs.alias("h"), "token")
                  .filter(later & (F.col("p.comp") != F.col("h.comp")) & fits("h", "p"))

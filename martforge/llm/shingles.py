@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 
 #: Word hashes that a task remembers; beyond it the memory starts anew.
-CACHE = 400_000
+CACHE = 200_000
 
 
 class WordHashes(dict):
