@@ -44,6 +44,13 @@ def _gram(words: Column, start: Column, m: Column | None, sizes: list[int]) -> C
     return out
 
 
+def _codes(n_words: Column, sizes: list[int]) -> list[Column]:
+    """Block starts, as start * 256 + m, for each m; as longs, since a text may have more than 2^31 / 256 words."""
+    long = lambda x: F.lit(x).cast("long")
+    return [F.when(n_words >= m, F.sequence(long(m), (n_words.cast("long") - m) * 256 + m, long(256 * m)))
+            .otherwise(F.array().cast("array<long>")) for m in sizes]
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_col: str = "item_id", item_text_col: str = "text", n: int = 10,
          broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
@@ -71,11 +78,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"),
                        words_of(F.col(text_col)).alias("words")).withColumn("n_words", F.size("words"))
     # Block starts, as start * 256 + m, for each m; -1 stands for the row itself, with or without blocks.
-    starts = [F.when(F.col("n_words") >= m, F.sequence(F.lit(m), (F.col("n_words") - m) * 256 + m, F.lit(256 * m)))
-              .otherwise(F.array().cast("array<int>")) for m in sizes]
-    at = F.explode(F.concat(F.array(F.lit(-1)), *starts)).alias("code")
+    at = F.explode(F.concat(F.array(F.lit(-1).cast("long")), *_codes(F.col("n_words"), sizes))).alias("code")
     blocks = (base.select("*", at)
-              .withColumn("at", F.shiftright("code", 8))
+              .withColumn("at", F.shiftright("code", 8).cast("int"))
               .withColumn("gram", F.when(F.col("code") >= 0, _gram(F.col("words"), F.col("at"),
                                                                   F.col("code").bitwiseAND(255), sizes))))
     start = F.col("at") - F.col("offset")
