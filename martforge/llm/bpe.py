@@ -357,11 +357,13 @@ def word_counts(docs: DataFrame, text_col: str, path: str) -> DataFrame:
 
 def frequent_lexicon(docs: DataFrame, text_col: str, path: str, words: int = 65_536) -> bytes:
     """Lexicon of the corpus' most frequent words: all that occur at least c times, for the smallest c (2 or more)
-    that leaves at most ``words`` of them. ``words`` bounds what the driver gets and the lexicon, about 5 MB."""
+    that leaves at most ``words`` of them (from 2^17 on, c has 10 significant bits). ``words`` bounds what the driver gets and the lexicon, about 5 MB."""
     counts = materialize(word_counts(docs, text_col, path).filter("n > 1"), "word-counts")
-    most = 100_000  # counts from here on are one bar of the histogram
-    bars = counts.groupBy(F.least("n", F.lit(most)).alias("n")).agg(F.count(F.lit(1)).alias("words")).collect()
-    least, total = most + 1, 0
+    # Counts from 2^17 on keep their 10 highest bits: 512 bars of the histogram for each doubling, without an upper one.
+    low = F.greatest(F.length(F.bin("n")) - 10, F.lit(0))
+    bar = F.when(F.col("n") < 1 << 17, F.col("n")).otherwise(F.call_function("shiftleft", F.call_function("shiftright", "n", low), low))
+    bars = counts.groupBy(bar.alias("n")).agg(F.count(F.lit(1)).alias("words")).collect()
+    least, total = max((r["n"] for r in bars), default=0) << 1, 0  # over all counts
     for n, more in sorted(((r["n"], r["words"]) for r in bars), reverse=True):
         if total + more > words:
             break
