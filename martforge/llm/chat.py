@@ -170,7 +170,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     over a conversation is least; of equally cheap repairs the states with the smaller number (system, user,
     assistant) win from the end backwards.
 
-    Turns are ordered by turn number, then by role and text (nulls first); repeated rows are turns of their own. A null
+    Turns are ordered by turn number, then by role and text (nulls first, bytes ascending), whatever the partitions; repeated rows are turns of their own. A null
     text is empty, a null or other role unknown, a null conversation id one conversation. The two markers lose their
     meaning inside texts (a space follows their first ``<|``). An empty table gives no rows. Other columns are not read.
     """
@@ -181,7 +181,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         code = F.when(name == alias, ROLES.index(role)).otherwise(code)
     rows = (turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"),
                          F.col(role_col).alias("role"), F.col(text_col).alias("text"), code.alias("code"))
-            .repartitionByRange("conv_id", "turn", "role", F.xxhash64("text"))
+            .repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, 256))  # in the order of text, but short
             .sortWithinPartitions("conv_id", "turn", "role", "text")
             .withColumn("place", F.monotonically_increasing_id()))
     rows = materialize(rows, "chat-turns")
