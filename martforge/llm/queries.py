@@ -86,6 +86,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.spelling import spelling_variants
+    return spelling_variants(_read(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.collocations import collocations
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_shard": op1_shard,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -97,6 +107,8 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality": op10_quality,
+    "op11_spelling": op11_spelling,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE = {
