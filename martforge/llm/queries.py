@@ -91,6 +91,15 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_read(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.llm.suffix_dedup import remove_repeats
+    length = lambda span: span["end"] - span["start"]
+    return remove_repeats(_read(spark, sf_dir, "documents"), least=50).select(
+        "doc_id", "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + length(span)).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.llm.collocations import collocations
     return collocations(_read(spark, sf_dir, "documents"))
@@ -108,6 +117,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_quality": op10_quality,
     "op11_spelling": op11_spelling,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_collocations": op13_collocations,
 }
 
