@@ -22,7 +22,11 @@ from martforge.operators.combine import side_by_side
 from martforge.plans import audit, checks, marts, reconcile, views
 from martforge.plans.dims import build_dim_customer, build_dim_date, build_dim_product
 from martforge.plans.facts import build_fact_sales
-from martforge.plans.incremental import BEGINNING, customer_history, load_orders
+from martforge.plans.incremental import (BEGINNING, customer_history, customer_versions, fact_versions, load_orders,
+                                         revenue_by_city_then)
+from martforge.plans.maintain import MaintainedFact
+from martforge.plans.months import read_months, replace_months, write_months
+from martforge.plans.publish import CommitConflict, Store
 from martforge.plans.staging import Staging, derived_staging, mutated_staging
 from martforge.plans.warehouse import Warehouse, build, check_tables
 from martforge.schemas import STG_PRODUCTS
@@ -40,6 +44,8 @@ def _code_hash() -> str:
     h = hashlib.sha1()
     base = os.path.dirname(__file__)
     for dirpath, _, files in sorted(os.walk(base)):
+        if os.path.basename(dirpath) == "llm":  # has no part in the warehouse
+            continue
         for f in sorted(files):
             if f.endswith(".py"):
                 with open(os.path.join(dirpath, f), "rb") as fh:
@@ -50,19 +56,17 @@ def _code_hash() -> str:
 def source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Identity of the inputs: file names, sizes, modification times, code version.
 
-    Every table, a single file or a folder of part files, is listed anew and
-    aggregated in Spark to one row; a table without files raises.
+    All tables, each a single file or a folder of part files, are listed anew in one job and aggregated in Spark to
+    one row a table; a table without files raises.
     """
-    parts = []
-    for t in SOURCE_TABLES:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(f"{sf_dir}/{t}.parquet").select("path", "length", "modificationTime"))
-        parts.append(files.agg(
-            F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
-            F.bit_xor(F.xxhash64(F.substring_index("path", "/", -1), "length", "modificationTime")).alias("hash"),
-        ).select(F.lit(t).alias("name"), "files", "bytes", "hash"))
-    rows = sorted(tuple(r) for r in reduce(DataFrame.unionByName, parts).collect())
-    empty = [name for name, files, _, _ in rows if not files]
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load([f"{sf_dir}/{t}.parquet" for t in SOURCE_TABLES]).select("path", "length", "modificationTime"))
+    table = F.regexp_extract("path", f".*/({'|'.join(SOURCE_TABLES)})[.]parquet(/|$)", 1)
+    found = files.groupBy(table.alias("name")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+        F.bit_xor(F.xxhash64(F.substring_index("path", "/", -1), "length", "modificationTime")).alias("hash"))
+    rows = sorted(tuple(r) for r in found.collect())
+    empty = sorted(set(SOURCE_TABLES) - {r[0] for r in rows})
     if empty:
         raise FileNotFoundError(f"no files of {', '.join(empty)} under {sf_dir}")
     return hashlib.sha1(repr((rows, _code_hash())).encode()).hexdigest()[:16]
@@ -83,10 +87,14 @@ def published_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         if key in _MEMO:
             return _MEMO[key]
         root = f"{scratch_root(spark)}/martforge/warehouse-{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
-        from martforge.plans.publish import Store
         rid = Store(spark, root).current(fingerprint=fp)
-        wh = Warehouse(spark, root, rid) if rid else build(spark, derived_staging(spark, sf_dir), root,
-                                                           fingerprint=fp)
+        try:
+            wh = Warehouse(spark, root, rid) if rid else build(spark, derived_staging(spark, sf_dir), root,
+                                                               fingerprint=fp)
+        except CommitConflict:  # another session published meanwhile, perhaps from the same inputs
+            rid = Store(spark, root).current(fingerprint=fp)
+            wh = Warehouse(spark, root, rid) if rid else build(spark, derived_staging(spark, sf_dir), root,
+                                                               fingerprint=fp)
         _MEMO[key] = wh
         return wh
 
@@ -144,6 +152,67 @@ def q_dim_customer_scd2(spark, sf_dir):
     return customer_history(customer_history(None, first, BEGINNING), second, datetime.date(1998, 1, 1))
 
 
+def _star(spark, sf_dir) -> tuple[Staging, list[DataFrame]]:
+    s = _stg(spark, sf_dir)
+    return s, [materialize(d, "dims") for d in (build_dim_customer(s.customers), build_dim_product(s.products),
+                                                build_dim_date(s.orders))]
+
+
+def q_fact_sales_refreshed(spark, sf_dir):
+    """The fact kept by change capture: loaded with orders and lines missing and a changed price, then refreshed."""
+    s, dims = _star(spark, sf_dir)
+    fact = MaintainedFact(spark, scratch_path(spark, "maintained"), width=10_000)
+    early = s.orders.where("order_id % 7 <> 3")  # whatever their dates
+    lines = (s.order_items.where("product_id % 11 <> 5")
+             .withColumn("unit_price", F.when(F.col("order_id") % 13 == 1, F.col("unit_price") + 1)
+                         .otherwise(F.col("unit_price")).cast(s.order_items.schema["unit_price"].dataType)))
+    fact.refresh(lines, early, dims)
+    fact.refresh(s.order_items, s.orders, dims)
+    return fact.read()
+
+
+def q_fact_sales_streamed(spark, sf_dir):
+    """The fact from a stream of files: lines of which some come before and some long after their orders."""
+    s, dims = _star(spark, sf_dir)
+    root = scratch_path(spark, "streamed")
+    fact = MaintainedFact(spark, f"{root}/table", width=10_000)
+    lines = s.order_items
+    for orders, items in ((s.orders.where("order_id % 3 <> 1"), lines.where("product_id % 5 <> 2")),
+                          (s.orders.where("order_id % 3 = 1"), lines.where("product_id % 5 = 2 or product_id is null"))):
+        orders.coalesce(2).write.mode("append").parquet(f"{root}/landing/orders")
+        items.coalesce(2).write.mode("append").parquet(f"{root}/landing/order_items")
+        fact.follow(f"{root}/landing", lambda: dims, f"{root}/checkpoint", files_per_batch=2)
+    return fact.read()
+
+
+def q_fact_sales_months(spark, sf_dir):
+    """The published fact laid out by month, its first and last month loaded with wrong amounts and then replaced."""
+    wh = _wh(spark, sf_dir)
+    fact, path = wh.table("fact_sales"), scratch_path(spark, "fact-months")
+    span = fact.agg(F.min(F.expr("date_key DIV 100")).alias("lo"), F.max(F.expr("date_key DIV 100")).alias("hi")).first()
+    edge = F.expr("date_key DIV 100").isin(span["lo"], span["hi"])
+    amount = fact.schema["sales_amount"].dataType
+    write_months(fact.withColumn("sales_amount", F.when(edge, F.lit(0)).otherwise(F.col("sales_amount")).cast(amount)), path)
+    replace_months(fact.where(edge), path)
+    return read_months(spark, path)
+
+
+def _versions(spark, sf_dir) -> DataFrame:
+    return materialize(customer_versions(q_dim_customer_scd2(spark, sf_dir)), "versions")
+
+
+def q_fact_sales_versions(spark, sf_dir):
+    """The published fact with the customer's version valid on the day of each order."""
+    wh = _wh(spark, sf_dir)
+    return fact_versions(wh.table("fact_sales"), wh.table("dim_customer"), wh.table("dim_date"), _versions(spark, sf_dir))
+
+
+def q_revenue_by_city_then(spark, sf_dir):
+    wh, versions = _wh(spark, sf_dir), _versions(spark, sf_dir)
+    return revenue_by_city_then(fact_versions(wh.table("fact_sales"), wh.table("dim_customer"), wh.table("dim_date"),
+                                              versions), versions)
+
+
 def q_csv_roundtrip(spark, sf_dir):
     """Staged products written as CSV extract and read back by header name."""
     path = scratch_path(spark, "products.csv")
@@ -308,6 +377,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_sales": q_fact_sales,
     "fact_sales_incremental": q_fact_sales_incremental,
     "dim_customer_scd2": q_dim_customer_scd2,
+    "fact_sales_refreshed": q_fact_sales_refreshed,
+    "fact_sales_streamed": q_fact_sales_streamed,
+    "fact_sales_months": q_fact_sales_months,
+    "fact_sales_versions": q_fact_sales_versions,
     "csv_roundtrip": q_csv_roundtrip,
     "row_counts": q_row_counts,
     "dq_duplicate_customers": _single("duplicate_customer_ids"),
@@ -363,5 +436,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_top_products": _mart(marts.top_products, "dim_product"),
     "mart_asp_by_category": _mart(marts.asp_by_category, "dim_product"),
     "mart_city_performance": _mart(marts.city_performance, "dim_customer"),
+    "mart_revenue_by_city_then": q_revenue_by_city_then,
     "measures_by_category_month": _mart(marts.measures_by_category_month, "dim_product", "dim_date"),
 }

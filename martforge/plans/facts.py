@@ -33,9 +33,9 @@ def order_keys(stg_orders: DataFrame, dim_customer: DataFrame, dim_date: DataFra
             .select("order_id", "customer_key", "date_key"))
 
 
-def build_fact_sales(stg_order_items: DataFrame, stg_orders: DataFrame, dim_customer: DataFrame,
-                     dim_product: DataFrame, dim_date: DataFrame, check_sizes: bool = True) -> DataFrame:
-    """Inner star join of staged lines with quantity > 0; no status filter.
+def fact_rows(stg_order_items: DataFrame, stg_orders: DataFrame, dim_customer: DataFrame,
+              dim_product: DataFrame, dim_date: DataFrame, check_sizes: bool = True) -> DataFrame:
+    """The fact without its key: inner star join of staged lines with quantity > 0; no status filter.
 
     A line is loaded once per matching order row, customer and product, as
     an inner join chain does.
@@ -45,7 +45,13 @@ def build_fact_sales(stg_order_items: DataFrame, stg_orders: DataFrame, dim_cust
     prod = dim_product.select("product_id", "product_key")
     if check_sizes:
         prod = sized_broadcast(prod, size_of=dim_product)
-    joined = (lines.join(prod, "product_id")
-                   .join(order_keys(stg_orders, dim_customer, dim_date, check_sizes), "order_id")
-                   .withColumn("sales_amount", line_amount(F.col("quantity"), F.col("unit_price"))))
+    return (lines.join(prod, "product_id")
+                 .join(order_keys(stg_orders, dim_customer, dim_date, check_sizes), "order_id")
+                 .withColumn("sales_amount", line_amount(F.col("quantity"), F.col("unit_price"))))
+
+
+def build_fact_sales(stg_order_items: DataFrame, stg_orders: DataFrame, dim_customer: DataFrame,
+                     dim_product: DataFrame, dim_date: DataFrame, check_sizes: bool = True) -> DataFrame:
+    """``fact_rows`` with dense keys 1..N in the order of ``FACT_KEY_ORDER``."""
+    joined = fact_rows(stg_order_items, stg_orders, dim_customer, dim_product, dim_date, check_sizes)
     return dense_key(joined, FACT_KEY_ORDER, "sales_key").select(*columns(FACT_SALES))

@@ -1,4 +1,8 @@
-"""Incremental loading: new orders by a watermark, and customer history (slowly changing dimension, type 2)."""
+"""Incremental loading by a watermark, customer history (slowly changing dimension, type 2), and the fact against it.
+
+Orders that come late, and lines added to loaded orders, lie before a watermark: ``load_orders`` does not see them.
+``maintain`` takes them in.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,15 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martforge.functions.expr import to_total
+from martforge.operators.asof import last_before
 from martforge.operators.dedupe import first_per_key
+from martforge.operators.joins import sized_broadcast
+from martforge.operators.keys import dense_key
 from martforge.plans.dims import CUSTOMER_PRECEDENCE
 from martforge.plans.facts import build_fact_sales
 from martforge.schemas import DIM_CUSTOMER, FACT_SALES, columns
+from martforge.session import materialize
 
 #: Start of the first version of a customer.
 BEGINNING = datetime.date(1900, 1, 1)
@@ -24,6 +33,7 @@ def load_orders(fact: DataFrame | None, stg_orders: DataFrame, stg_order_items:
     The watermark filters orders in the scan; lines meet only those. Keys go on from the largest one of ``fact``
     (None: from 1), so what is loaded already keeps its keys and is not read but for that. Loading in steps gives
     the rows of one full load, with other keys. Orders without a date are in the first load only (``after`` None).
+    Rows dated up to the watermark that were staged after it was set are not loaded (see ``maintain``).
     """
     orders = stg_orders
     if after is not None:
@@ -47,7 +57,9 @@ def customer_history(history: DataFrame | None, stg_customers: DataFrame, day: d
 
     A customer whose attributes differ from its current version (nulls compare as values) gets a new version from
     ``day`` on, and the old one ends there; one that the snapshot lacks ends without a successor; others stay.
-    Without a history every customer starts at ``BEGINNING``. Copies of a customer count as the first of them.
+    Without a history every customer starts at ``BEGINNING``. Copies of a customer count as the first of them. A version
+    that began on ``day`` itself (or after it) is corrected in place, or dropped if the customer is gone: a second
+    snapshot of a day leaves no empty intervals, and the same one again changes nothing.
     One join by customer; ended versions are passed through.
     """
     attributes = [c for c in columns(DIM_CUSTOMER) if c not in ("customer_key", "customer_id")]
@@ -63,7 +75,37 @@ def customer_history(history: DataFrame | None, stg_customers: DataFrame, day: d
     changed = ~gone & ~came & ~old.eqNullSafe(new)
     row = lambda side, start, end: F.struct(F.col(f"{side}.customer_id").alias("customer_id"),
                                             *[F.col(f"{side}.{c}").alias(c) for c in attributes], *dates(start, end))
-    before = F.when(~came, row("h", F.col("h.start_date"), F.when(gone | changed, F.lit(day)).otherwise(F.lit(None))))
-    after = F.when(came | changed, row("n", F.lit(day), F.lit(None)))
+    anew = (gone | changed) & (F.col("h.start_date") >= F.lit(day))  # nothing of the version is left before the day
+    before = F.when(~came & ~anew, row("h", F.col("h.start_date"), F.when(gone | changed, F.lit(day)).otherwise(F.lit(None))))
+    after = F.when(came | changed, row("n", F.when(changed & anew, F.col("h.start_date")).otherwise(F.lit(day)), F.lit(None)))
     versions = both.select(F.explode(F.array_compact(F.array(before, after))).alias("v")).select("v.*")
     return versions.unionByName(history.where("not is_current").select(*versions.columns))
+
+
+def customer_versions(history: DataFrame) -> DataFrame:
+    """``history`` with the dense key ``customer_version_key`` 1..N by customer and start."""
+    return dense_key(history, ["customer_id", "start_date"], "customer_version_key")
+
+
+def fact_versions(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, versions: DataFrame) -> DataFrame:
+    """``fact`` with ``customer_version_key``: the customer's version that was valid on the order's day.
+
+    Null where the history has none for that day (the customer was not in the snapshots then). Each customer's days are
+    looked up once, by an as-of join that splits hot customers; then lines meet them by (customer_key, date_key).
+    """
+    customers = sized_broadcast(dim_customer.select("customer_key", "customer_id"), size_of=dim_customer)
+    days = sized_broadcast(dim_date.select("date_key", "full_date"), size_of=dim_date)
+    asked = fact.select("customer_key", "date_key").distinct().join(customers, "customer_key").join(days, "date_key")
+    found = last_before(asked, versions, "customer_id", "full_date", "start_date", ["customer_version_key", "end_date"])
+    valid = F.col("end_date").isNull() | (F.col("full_date") < F.col("end_date"))
+    found = materialize(found.select("customer_key", "date_key", F.when(valid, F.col("customer_version_key")).alias(
+        "customer_version_key")), "fact-versions")
+    return fact.join(sized_broadcast(found, size_of=found), ["customer_key", "date_key"], "left").select(
+        *fact.columns, "customer_version_key")
+
+
+def revenue_by_city_then(fact: DataFrame, versions: DataFrame) -> DataFrame:
+    """Sales by the city that customers lived in on the day of the order (``fact`` of ``fact_versions``)."""
+    per = fact.groupBy("customer_version_key").agg(F.sum("sales_amount").alias("sales"), F.sum("quantity").alias("quantity"))
+    return (per.join(versions.select("customer_version_key", "city"), "customer_version_key", "left").groupBy("city")
+            .agg(to_total(F.sum("sales")).alias("total_sales"), F.sum("quantity").cast("bigint").alias("total_quantity")))

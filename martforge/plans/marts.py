@@ -96,18 +96,21 @@ def quarterly_growth(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def _by_customer(fact: DataFrame, dim_customer: DataFrame, attr: str) -> DataFrame:
     """Sales, distinct orders and distinct customers per customer attribute.
 
-    Lines become one row per (attribute, customer, order), then one per
-    (attribute, order) and one per (attribute, customer): each distinct count
-    is the number of such rows, and no line is multiplied.
+    Lines become one row per (customer, order), which counts once for its order and once for its customer: rows of
+    (attribute, order or customer) are made distinct in one aggregate, so the fact is shuffled once and no line is
+    multiplied.
     """
     per = fact.groupBy("customer_key", "order_id").agg(F.sum("sales_amount").alias("sales_amount"))
     per = per.join(dim_customer.select("customer_key", attr), "customer_key")
-    orders = (per.groupBy(attr, "order_id").agg(F.sum("sales_amount").alias("sales_amount"))
-              .groupBy(attr).agg(to_total(F.sum("sales_amount")).alias("total_sales"),
-                                 F.count("order_id").cast("bigint").alias("total_orders")))
-    customers = (per.groupBy(attr, "customer_key").agg(F.lit(1).alias("one"))
-                 .groupBy(F.col(attr).alias("_attr")).agg(F.count(F.lit(1)).cast("bigint").alias("total_customers")))
-    return orders.join(customers, F.col(attr).eqNullSafe(F.col("_attr"))).drop("_attr")
+    none = F.lit(None).cast("decimal(24,2)")
+    each = F.inline(F.array(F.struct(F.lit(True).alias("is_order"), F.col("order_id").alias("id"), "sales_amount"),
+                            F.struct(F.lit(False).alias("is_order"), F.col("customer_key").alias("id"),
+                                     none.alias("sales_amount"))))
+    once = per.select(attr, each).groupBy(attr, "is_order", "id").agg(F.sum("sales_amount").alias("sales_amount"))
+    return once.groupBy(attr).agg(
+        to_total(F.sum("sales_amount")).alias("total_sales"),
+        F.count_if(F.col("is_order") & F.col("id").isNotNull()).cast("bigint").alias("total_orders"),
+        F.count_if(~F.col("is_order")).cast("bigint").alias("total_customers"))
 
 
 def revenue_by_state(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from martforge.operators.joins import prefetch_row_counts
 from martforge.plans import audit, checks, reconcile
 from martforge.plans.dims import build_dim_customer, build_dim_date, build_dim_product
 from martforge.plans.facts import build_fact_sales
+from martforge.plans.months import write_months
 from martforge.plans.publish import Store, new_run_id
 from martforge.plans.staging import Staging, read_staging
 from martforge.schemas import FACT_SALES, STAGING, columns
@@ -33,7 +34,6 @@ class _Steps:
         log.info("%s: %.2fs", name, now - self.t)
         self.t = now
 
-FACT_PARTITION = "year_month"
 DIMENSIONS = ("dim_customer", "dim_product", "dim_date")
 
 
@@ -102,15 +102,18 @@ def build(spark: SparkSession, staging: Staging, root: str,
           anomaly_share: float = checks.ANOMALY_SHARE) -> Warehouse:
     """Build and publish one version; raise ``GateFailed`` (nothing published) on a failed gate.
 
+    A run is published only on top of the commit that it began from: of two that race, the later one to finish gets
+    ``CommitConflict`` (its version folder stays unpublished) and may be run again.
+
     The fact is written in its key order: each file holds a contiguous range of
     sales keys (range partitions of the key build), so file and row-group
     statistics on ``sales_key``/``order_id`` prune order lookups. With
-    ``month_partitions`` it is also split into ``year_month=`` folders for date
-    pruning, at the price of (tasks x months) files, since key ranges span
-    all months.
+    ``month_partitions`` it is clustered into ``year_month=`` folders instead
+    (see ``months``), for date pruning and month-wise replacement.
     """
     step = _Steps()
     store = Store(spark, root)
+    parent = store.latest()
     run_id = run_id or new_run_id()
     vdir = store.version_dir(run_id)
 
@@ -138,8 +141,7 @@ def build(spark: SparkSession, staging: Staging, root: str,
     fact = build_fact_sales(stg.order_items, stg.orders, dims["dim_customer"], dims["dim_product"],
                             dims["dim_date"])
     if month_partitions:
-        (fact.withColumn(FACT_PARTITION, F.expr("date_key DIV 100").cast("int"))
-             .write.mode("errorifexists").partitionBy(FACT_PARTITION).parquet(f"{vdir}/fact_sales"))
+        write_months(fact, f"{vdir}/fact_sales")
     else:
         fact.write.mode("errorifexists").parquet(f"{vdir}/fact_sales")
     fact = spark.read.parquet(f"{vdir}/fact_sales").select(*columns(FACT_SALES))
@@ -165,7 +167,7 @@ def build(spark: SparkSession, staging: Staging, root: str,
     checks.raise_on_failures(rows)
     step("warehouse_gate")
 
-    store.commit(run_id, fingerprint)
+    store.commit(run_id, fingerprint, parent)
     step("commit")
     log.info("published %s", run_id)
     return Warehouse(spark, root, run_id, step.times)

@@ -586,3 +586,27 @@ UNION ALL
 SELECT customer_id, customer_name, city || ' (moved)', state, country, signup_date, DATE '1998-01-01', NULL, TRUE
 FROM dim_customer WHERE customer_id % 10 = 3 AND customer_id % 50 <> 7
 """)
+
+for _name in ("fact_sales_refreshed", "fact_sales_streamed", "fact_sales_months"):
+    ORACLE[_name] = ORACLE["fact_sales"]
+
+# Versions of customers, numbered by customer and start, and the fact's lines with the one valid on the order's day.
+_VERSIONS = f"""
+, history AS (
+{ORACLE["dim_customer_scd2"][ORACLE["dim_customer_scd2"].rindex("SELECT customer_id, customer_name, city, state, country, signup_date, DATE '1900"):]}
+), versions AS (
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY customer_id, start_date) AS BIGINT) AS customer_version_key FROM history
+), lines AS (
+SELECT f.*, v.customer_version_key, v.city
+FROM fact_sales f JOIN dim_customer c USING (customer_key) JOIN dim_date d USING (date_key)
+LEFT JOIN versions v ON v.customer_id = c.customer_id AND d.full_date >= v.start_date
+                    AND (v.end_date IS NULL OR d.full_date < v.end_date)
+)"""
+
+ORACLE["fact_sales_versions"] = _with(["fact_sales", "dim_customer", "dim_date"], "").rstrip() + _VERSIONS + """
+SELECT sales_key, order_id, customer_key, product_key, date_key, quantity, unit_price, sales_amount, customer_version_key
+FROM lines"""
+
+ORACLE["mart_revenue_by_city_then"] = _with(["fact_sales", "dim_customer", "dim_date"], "").rstrip() + _VERSIONS + """
+SELECT city, CAST(SUM(sales_amount) AS DECIMAL(24,2)) AS total_sales, CAST(SUM(quantity) AS BIGINT) AS total_quantity
+FROM lines GROUP BY city"""
