@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 
-import xxhash
+import numpy as np
 
 
 def components(nodes, links):
@@ -41,16 +41,6 @@ def jaccard(rows, k, num, den):
     return {(d, len(s), comp[d]) for d, s in sets.items()}
 
 
-def simhash(words):
-    hashes = [xxhash.xxh64_intdigest(w) for w in set(words)]
-    out = 0
-    for i in range(64):
-        ones = sum(h >> i & 1 for h in hashes)
-        if 2 * ones > len(hashes) or 2 * ones == len(hashes) and min(hashes) >> i & 1:
-            out |= 1 << i
-    return out
-
-
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -60,6 +50,23 @@ def levenshtein(a, b):
     return row[-1]
 
 
+def similar_lines(lines, similarity=0.9):
+    """All pairs (i < j) of lines whose edit similarity is reached."""
+    size = np.array([len(x) for x in lines])
+    kinds = sorted(set("".join(lines)))
+    bags = np.array([[x.count(c) for c in kinds] for x in lines])
+    out = []
+    for i, x in enumerate(lines):
+        most = (np.maximum(size[i + 1:], size[i]) * (1 - similarity) + 1e-9).astype(int)
+        # an edit changes at most one count up and one down
+        apart = bags[i + 1:] - bags[i]
+        bound = np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1))
+        for j in np.flatnonzero(bound <= most).tolist():
+            if levenshtein(x, lines[i + 1 + j]) <= most[j]:
+                out.append((i, i + 1 + j))
+    return out
+
+
 def line_cuts(rows, similarity=0.9):
     """{doc_id: sorted cut line numbers} of rows (doc_id, text), ids distinct."""
     first, places = {}, {}
@@ -70,14 +77,7 @@ def line_cuts(rows, similarity=0.9):
                 first.setdefault(norm, (doc_id, i))
                 places.setdefault(norm, []).append((doc_id, i))
     norms = sorted(first)
-    hashes = {n: simhash(n.split()) for n in norms}
-    links = []
-    for a, b in itertools.combinations(norms, 2):
-        if bin(hashes[a] ^ hashes[b]).count("1") <= 3:
-            x, y = a.decode(), b.decode()
-            longest = max(len(x), len(y))
-            if levenshtein(x, y) <= int(longest * (1 - similarity) + 1e-9):
-                links.append((a, b))
+    links = [(norms[i], norms[j]) for i, j in similar_lines([n.decode() for n in norms], similarity)]
     comp = components(norms, links)
     kept = {}
     for n in norms:

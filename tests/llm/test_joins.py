@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import brute
 from martforge.llm import rounds
 from martforge.llm.graph import connected_components
-from martforge.llm.line_dedup import fuzzy_line_dedup, simhashes
+from martforge.llm.line_dedup import fuzzy_line_dedup
 from martforge.llm.ngram_join import jaccard_components
 from martforge.llm.substring_dedup import align, chains, distance, repeated_passages
 
@@ -58,14 +58,6 @@ def test_jaccard_repeated_and_null_ids(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_simhash():
-    import numpy as np
-    import xxhash
-    lines = [[b"a"], [b"b", b"c"], [b"w%d" % i for i in range(700)], [b"x%d" % i for i in range(300)]]
-    words = np.array([xxhash.xxh64_intdigest(w) for x in lines for w in x], np.uint64)
-    assert simhashes(words, np.array([len(x) for x in lines])).tolist() == [brute.simhash(x) for x in lines]
-
-
 def line_rows():
     rnd = random.Random(4)
     base = [" ".join(f"w{rnd.randrange(3000)}" for _ in range(rnd.randrange(1, 60))) for _ in range(25)]
@@ -83,14 +75,15 @@ def line_rows():
 
 def test_line_dedup_equals_plain(spark):
     rows = line_rows()
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash")).repartition(3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash")).withColumn("_id", F.lit(5)).withColumn("_cut", F.lit("x")).withColumn("text_key", F.lit(0)).repartition(3)
     got = {r.doc_id: r for r in fuzzy_line_dedup(docs).collect()}
     want = brute.line_cuts(rows)
     assert {d: list(r.cut_lines) for d, r in got.items() if r.cut_lines} == want and len(want) > 10
     for d, text in rows:
         kept = None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in want.get(d, ()))
         assert got[d].text == kept
-    assert set(got[0].asDict()) == {"doc_id", "text", "node", "n_lines", "cut_lines"}
+    assert set(got[0].asDict()) == {"doc_id", "text", "node", "_id", "_cut", "text_key", "n_lines", "cut_lines"}
+    assert got[0]._id == 5 and got[0]._cut == "x" and got[0].text_key == 0
 
 
 def test_line_dedup_repeated_rows_and_nothing(spark):
