@@ -29,10 +29,10 @@ from martforge.plans.months import read_months, replace_months, write_months
 from martforge.plans.publish import CommitConflict, Store
 from martforge.plans.staging import Staging, derived_staging, mutated_staging
 from martforge.plans.warehouse import Warehouse, build, check_tables
-from martforge.schemas import STG_PRODUCTS
+from martforge.schemas import STG_ORDER_ITEMS, STG_PRODUCTS, columns
 from martforge.session import materialize, scratch_path, scratch_root
 from martforge.sources import tpch
-from martforge.sources.extracts import read_extract, write_extract
+from martforge.sources.extracts import read_extract, take_in, write_extract
 
 SOURCE_TABLES = ("customer", "nation", "region", "part", "orders", "lineitem")
 
@@ -220,6 +220,20 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_extract(spark, path, STG_PRODUCTS)
 
 
+def q_csv_rejects(spark, sf_dir):
+    """Staged order lines written as text, some with values that do not parse: rejects by reason, and the rows loaded."""
+    path = scratch_path(spark, "order_items.csv")
+    text = _stg(spark, sf_dir).order_items.select(*[F.col(c).cast("string").alias(c) for c in columns(STG_ORDER_ITEMS)])
+    key = F.col("order_id").cast("long")
+    text = (text.withColumn("quantity", F.when(key % 97 == 5, "many").otherwise(F.col("quantity")))
+            .withColumn("unit_price", F.when(key % 89 == 7, "1,2,3").otherwise(F.col("unit_price"))))
+    write_extract(text, path)
+    taken = take_in(spark, path, "order_items.csv", STG_ORDER_ITEMS)
+    loaded = taken.rows.select(F.lit("loaded").alias("reasons"))
+    return (taken.rejects.select(F.concat_ws(",", "reasons").alias("reasons")).unionByName(loaded)
+            .groupBy("reasons").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
+
+
 # --- report queries over the published warehouse ------------------------------------
 
 def _wh(spark, sf_dir) -> Warehouse:
@@ -382,6 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_sales_months": q_fact_sales_months,
     "fact_sales_versions": q_fact_sales_versions,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_rejects": q_csv_rejects,
     "row_counts": q_row_counts,
     "dq_duplicate_customers": _single("duplicate_customer_ids"),
     "dq_missing_city": _single("missing_customer_cities"),

@@ -5,10 +5,12 @@ from __future__ import annotations
 import logging
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.operators.combine import side_by_side
 from martforge.operators.joins import prefetch_row_counts
 from martforge.plans import audit, checks, reconcile
 from martforge.plans.dims import build_dim_customer, build_dim_date, build_dim_product
@@ -34,6 +36,9 @@ class _Steps:
         log.info("%s: %.2fs", name, now - self.t)
         self.t = now
 
+#: Largest share of an extract's rows that may not parse.
+REJECT_SHARE = 0.01
+INTAKE = "table string, read_rows long, rejected_rows long, staged_rows long"
 DIMENSIONS = ("dim_customer", "dim_product", "dim_date")
 
 
@@ -99,7 +104,8 @@ def _collect_report(report: DataFrame, path: str) -> list:
 def build(spark: SparkSession, staging: Staging, root: str,
           expectations: checks.Expectations | None = None, fingerprint: str = "",
           run_id: str | None = None, month_partitions: bool = False,
-          anomaly_share: float = checks.ANOMALY_SHARE) -> Warehouse:
+          anomaly_share: float = checks.ANOMALY_SHARE, intake: dict | None = None,
+          reject_share: float = REJECT_SHARE) -> Warehouse:
     """Build and publish one version; raise ``GateFailed`` (nothing published) on a failed gate.
 
     A run is published only on top of the commit that it began from: of two that race, the later one to finish gets
@@ -121,6 +127,8 @@ def build(spark: SparkSession, staging: Staging, root: str,
                    for n, df in _conformed(staging).items()])
     stg = read_staging(spark, vdir)
     pre, pre_content = _staging_counts(stg), _content(stg.tables())
+    if intake:
+        _write_rejects(spark, intake, pre, vdir, reject_share)
     step("staging")
 
     stg_checks = checks.configure(checks.staging_checks(), expectations)
@@ -173,6 +181,36 @@ def build(spark: SparkSession, staging: Staging, root: str,
     return Warehouse(spark, root, run_id, step.times)
 
 
+def _write_rejects(spark: SparkSession, intake: dict, staged: dict[str, int], vdir: str, share: float) -> None:
+    """``rejects`` (raw lines that do not parse, with file and reasons) and ``intake`` (counts per table) of a version.
+
+    Rows read and rejected were counted while staging was written. What was read must be what is staged plus what was
+    rejected, and no table may lose more than ``share`` of its rows.
+    """
+    counts = {table: taken.counts() for table, taken in intake.items()}
+    rows = [(table, read, rejected, staged[table]) for table, (read, rejected) in sorted(counts.items())]
+    spark.createDataFrame(rows, INTAKE).coalesce(1).write.mode("errorifexists").parquet(f"{vdir}/intake")
+    parts = [intake[t].rejects for t, (_, rejected) in counts.items() if rejected] or [next(iter(intake.values())).rejects.limit(0)]
+    reduce(DataFrame.unionByName, parts).write.mode("errorifexists").parquet(f"{vdir}/rejects")
+    written = {r["extract"]: r["count"] for r in spark.read.parquet(f"{vdir}/rejects").groupBy("extract").count().collect()}
+    problems = []
+    for table, read, rejected, kept in rows:
+        if read != kept + rejected or written.get(intake[table].name, 0) != rejected:
+            problems.append(f"{table}: {read} rows read, but {kept} staged and {rejected} rejected")
+        if rejected > share * read:
+            problems.append(f"{table}: {rejected} of {read} rows do not parse")
+    if problems:
+        raise checks.GateFailed("; ".join(problems))
+
+
+def line_intake(wh: Warehouse) -> DataFrame:
+    """Where the order lines of the extract went: read = rejected + excluded + loaded."""
+    of_lines = wh.store.read("intake", wh.run_id).where("table = 'stg_order_items'").select("read_rows", "rejected_rows")
+    count = lambda table, name: wh.store.read(table, wh.run_id).agg(F.count(F.lit(1)).alias(name))
+    return side_by_side([of_lines, count("quarantine", "excluded_rows"), count("fact_sales", "loaded_rows")]).select(
+        "read_rows", "rejected_rows", "excluded_rows", "loaded_rows")
+
+
 def _concurrently(jobs: list) -> None:
     """Run independent Spark jobs (e.g. writes of different tables) at the same
     time, so small tables do not leave the cluster idle one after another."""
@@ -217,7 +255,15 @@ def current(spark: SparkSession, root: str) -> Warehouse | None:
 
 
 def run_from_extracts(spark: SparkSession, source_dir: str, root: str,
-                      expectations: checks.Expectations | None = None) -> Warehouse:
-    """The whole job from raw CSV extracts: validate source, ingest, build, gate, publish."""
-    from martforge.sources.extracts import ingest
-    return build(spark, ingest(spark, source_dir), root, expectations=expectations)
+                      expectations: checks.Expectations | None = None, strict: bool = True,
+                      reject_share: float = REJECT_SHARE) -> Warehouse:
+    """The whole job from raw CSV extracts: validate source, ingest, build, gate, publish.
+
+    A row that does not parse ends a ``strict`` run. Otherwise it is written to the version's ``rejects`` and the rest
+    is loaded, unless a table loses more than ``reject_share`` of its rows.
+    """
+    from martforge.sources.extracts import ingest, ingest_with_rejects
+    if strict:
+        return build(spark, ingest(spark, source_dir), root, expectations=expectations)
+    staging, intake = ingest_with_rejects(spark, source_dir)
+    return build(spark, staging, root, expectations=expectations, intake=intake, reject_share=reject_share)

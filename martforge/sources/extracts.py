@@ -7,10 +7,11 @@ part files (what ``write_extract`` produces), each with a header line.
 from __future__ import annotations
 
 import csv
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -123,16 +124,9 @@ def validate_source(spark: SparkSession, source_dir: str) -> list[ExtractStatus]
     return statuses
 
 
-def read_extract(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed read that maps columns by the header name of each part file, not by position.
-
-    Files of one header are read together: the file schema is built in header
-    order (contract types for contract columns, string for extras), so the
-    positional CSV reader lines up; then the contract columns are selected in
-    contract order. FAILFAST makes a malformed value raise once the column is
-    parsed (the ingest writes every column, so every value is parsed). Only
-    where part files differ in their headers are files listed by name.
-    """
+def _parsed(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> DataFrame:
+    """The contract columns by the header name of each part file; PERMISSIVE adds ``_corrupt`` (the raw line of a row
+    that does not parse), ``_file`` and ``_texts`` (its fields as written)."""
     headers = header_lines(spark, path)
     wanted = {f.name: f.dataType for f in schema.fields}
     parts = []
@@ -142,17 +136,84 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         missing = [c for c in wanted if c not in by_name]
         if missing:
             raise SourceError(f"{path}: missing columns {missing}")
-        file_schema = T.StructType([T.StructField(h, wanted.get(h.strip(), T.StringType()), True) for h in raw])
+        fields = [T.StructField(h, wanted.get(h.strip(), T.StringType()), True) for h in raw]
         files = [path] if len(headers) == 1 else [
             r["file"] for r in _files_by_header(spark, path).where(F.col("header") == header).collect()]
-        df = (spark.read.schema(file_schema).option("header", True).option("mode", "FAILFAST")
-              .option("enforceSchema", True).csv(files))
-        parts.append(df.select(*[F.col(f"`{by_name[c]}`").alias(c) for c in wanted]))
+        reader = spark.read.option("header", True).option("mode", mode).option("enforceSchema", True)
+        columns = [F.col(f"`{by_name[c]}`").alias(c) for c in wanted]
+        if mode == "PERMISSIVE":
+            # all columns are parsed, so that rows with too few or too many fields are found too
+            reader = reader.option("columnNameOfCorruptRecord", "_corrupt").option("columnPruning", False)
+            fields.append(T.StructField("_corrupt", T.StringType(), True))
+            texts = ", ".join(f"c{i} string" for i in range(len(raw)))
+            places = [next(i for i, h in enumerate(raw) if h.strip() == c) for c in wanted]
+            text = F.from_csv("_corrupt", texts)
+            columns += ["_corrupt", F.col("_metadata.file_path").alias("_file"),
+                        F.array(*[text[f"c{i}"] for i in places]).alias("_texts")]
+        parts.append(reader.schema(T.StructType(fields)).csv(files).select(*columns))
     if not parts:
         raise SourceError(f"{path}: empty")
     return reduce(DataFrame.unionByName, parts)
 
 
+def read_extract(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Typed read that maps columns by the header name of each part file, not by position.
+
+    Files of one header are read together: the file schema is built in header
+    order (contract types for contract columns, string for extras), so the
+    positional CSV reader lines up; then the contract columns are selected in
+    contract order. FAILFAST makes a malformed value raise once the column is
+    parsed (the ingest writes every column, so every value is parsed). Only
+    where part files differ in their headers are files listed by name.
+    """
+    return _parsed(spark, path, schema, "FAILFAST")
+
+
+@dataclass(frozen=True)
+class Intake:
+    """One extract, read so that rows which do not parse are set apart.
+
+    ``rows`` are the rows that parse, ``rejects`` the others (extract, file, reasons, line). ``seen`` counts both while
+    ``rows`` is written, without a pass of its own; it has no result before.
+    """
+    name: str
+    rows: DataFrame
+    rejects: DataFrame
+    seen: Observation
+
+    def counts(self) -> tuple[int, int]:
+        """Rows read and rows rejected."""
+        found = self.seen.get
+        return found["read"], found["rejected"]
+
+
+def take_in(spark: SparkSession, path: str, name: str, schema: T.StructType) -> Intake:
+    """Read one extract by header name and set apart what does not parse: a bad value loads the rest.
+
+    The reasons of a reject name the columns whose text has no value of the contract's type (``bad_<column>``);
+    a line with too few or too many fields has ``field_count``.
+    """
+    parsed = _parsed(spark, path, schema, "PERMISSIVE")
+    columns = [f.name for f in schema.fields]
+    bad = F.col("_corrupt").isNotNull()
+    seen = Observation(f"intake {name} {uuid.uuid4().hex[:8]}")
+    rows = parsed.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(bad).alias("rejected")).where(~bad)
+    reasons = F.array_compact(F.array(*[
+        F.when(F.col(c).isNull() & F.col("_texts")[i].isNotNull(), F.lit(f"bad_{c}")) for i, c in enumerate(columns)]))
+    reasons = F.when(F.size(reasons) > 0, reasons).otherwise(F.array(F.lit("field_count")))
+    rejects = parsed.where(bad).select(F.lit(name).alias("extract"), F.col("_file").alias("file"),
+                                       reasons.alias("reasons"), F.col("_corrupt").alias("line"))
+    return Intake(name, rows.select(*columns), rejects, seen)
+
+
+def ingest_with_rejects(spark: SparkSession, source_dir: str) -> tuple[Staging, dict[str, Intake]]:
+    """Like ``ingest``, but rows that do not parse are set apart per staging table instead of ending the load."""
+    validate_source(spark, source_dir)
+    root = source_dir.rstrip("/")
+    taken = {table: take_in(spark, f"{root}/{name}", name, STAGING[table]) for name, table in RAW_FILES.items()}
+    return Staging(*[taken[t].rows for t in ("stg_customers", "stg_products", "stg_orders", "stg_order_items")]), taken
+
+
 def ingest(spark: SparkSession, source_dir: str) -> Staging:
     """Validate the source folder and read the four extracts as typed staging frames."""
     validate_source(spark, source_dir)

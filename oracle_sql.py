@@ -590,6 +590,13 @@ FROM dim_customer WHERE customer_id % 10 = 3 AND customer_id % 50 <> 7
 for _name in ("fact_sales_refreshed", "fact_sales_streamed", "fact_sales_months"):
     ORACLE[_name] = ORACLE["fact_sales"]
 
+ORACLE["csv_rejects"] = _with(["stg_order_items"], """
+SELECT CASE WHEN order_id % 97 = 5 AND order_id % 89 = 7 THEN 'bad_quantity,bad_unit_price'
+            WHEN order_id % 97 = 5 THEN 'bad_quantity' WHEN order_id % 89 = 7 THEN 'bad_unit_price'
+            ELSE 'loaded' END AS reasons, COUNT(*) AS n_rows
+FROM stg_order_items GROUP BY 1
+""")
+
 # Versions of customers, numbered by customer and start, and the fact's lines with the one valid on the order's day.
 _VERSIONS = f"""
 , history AS (
