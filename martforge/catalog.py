@@ -229,8 +229,9 @@ def q_csv_rejects(spark, sf_dir):
             .withColumn("unit_price", F.when(key % 89 == 7, "1,2,3").otherwise(F.col("unit_price"))))
     write_extract(text, path)
     taken = take_in(spark, path, "order_items.csv", STG_ORDER_ITEMS)
-    loaded = taken.rows.select(F.lit("loaded").alias("reasons"))
-    return (taken.rejects.select(F.concat_ws(",", "reasons").alias("reasons")).unionByName(loaded)
+    rows, rejects = materialize(taken.rows, "csv-rows"), materialize(taken.rejects, "csv-rejects")
+    loaded = rows.select(F.lit("loaded").alias("reasons"))
+    return (rejects.select(F.concat_ws(",", "reasons").alias("reasons")).unionByName(loaded)
             .groupBy("reasons").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
 
 
