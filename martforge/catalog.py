@@ -226,7 +226,7 @@ def q_csv_rejects(spark, sf_dir):
     text = _stg(spark, sf_dir).order_items.select(*[F.col(c).cast("string").alias(c) for c in columns(STG_ORDER_ITEMS)])
     key = F.col("order_id").cast("long")
     text = (text.withColumn("quantity", F.when(key % 97 == 5, "many").otherwise(F.col("quantity")))
-            .withColumn("unit_price", F.when(key % 89 == 7, "1,2,3").otherwise(F.col("unit_price"))))
+            .withColumn("unit_price", F.when(key % 89 == 7, "3.00 each").otherwise(F.col("unit_price"))))
     write_extract(text, path)
     taken = take_in(spark, path, "order_items.csv", STG_ORDER_ITEMS)
     rows, rejects = materialize(taken.rows, "csv-rows"), materialize(taken.rejects, "csv-rejects")
