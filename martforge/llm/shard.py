@@ -30,55 +30,76 @@ def fisher_yates(n: int, seed: list[int]) -> np.ndarray:
     return np.array(order, np.int64)
 
 
-def _permuting(shards: int, seed: int, names: list[str]):
+def _permuting(shards: int, seed: int):
     def task(bucket: pa.Table) -> pa.Table:
-        first, total = bucket.column("_offset")[0].as_py(), bucket.column("_total")[0].as_py()
+        first, total = bucket.column("offset")[0].as_py(), bucket.column("total")[0].as_py()
         # a fixed order first, whatever order the rows came in
-        bucket = bucket.take(pc.sort_indices(bucket, [("_key", "ascending"), ("_row", "ascending")]))
-        order = fisher_yates(len(bucket), [seed, bucket.column("_bucket")[0].as_py()])
+        bucket = bucket.take(pc.sort_indices(bucket, [("key", "ascending"), ("copy", "ascending")]))
+        order = fisher_yates(len(bucket), [seed, bucket.column("bucket")[0].as_py()])
         place = first + np.arange(len(bucket), dtype=np.int64)
         shard = place * shards // total
         slot = place - -(-shard * total // shards)
-        out = bucket.select(names).take(pa.array(order))
+        rows = bucket.column("row").combine_chunks().take(pa.array(order))
+        out = pa.Table.from_arrays(rows.flatten(), names=[f.name for f in rows.type])
         return out.append_column("shard", pa.array(shard, pa.int32())).append_column("slot", pa.array(slot))
 
     return task
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows (key, row) with the number of the copy of their key, from 0: counted in each partition of the input, after
+    the copies in those before."""
+    rows = materialize(rows.withColumn("at", F.monotonically_increasing_id()), "shard-copies")
+    part = F.shiftright("at", 33)
+    here = F.row_number().over(Window.partitionBy("key", "part").orderBy("at"))
+    counts = rows.groupBy("key", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("key", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return (rows.withColumn("part", part).withColumn("here", here).join(counts, ["key", "part"])
+            .select("key", "row", (F.col("before") + F.col("here") - 1).alias("copy")))
+
+
 def shuffle_into_shards(docs: DataFrame, path: str, shards: int = 8, seed: int = 20260, bucket_bytes: int = 24 << 20,
                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes ``docs`` in random order to ``path``/shard=0 .. as Parquet and returns what it reads back.
 
-    All columns are kept; ``shard`` and ``slot`` (the row's place in its shard, gapless from 0) are added, or replace
-    older ones. Shard sizes differ by one row at most. The order follows from the seed and the (id, text) of all rows,
-    not from how they are partitioned.
+    All columns are kept, whatever their names; ``shard`` and ``slot`` (the row's place in its shard, gapless from 0) are
+    added, or replace older ones. Shard sizes differ by one row at most. The order of (id, text) follows from the seed
+    and the (id, text) of all rows, not from how they are partitioned.
 
     Nulls count as values of their own and as texts of no bytes. Equal texts scatter by their ids. Rows that repeat id
-    and text share a bucket; should they overfill one (four times ``bucket_bytes``), all rows are scattered by their
-    place in the input as well. An empty table writes an empty folder's schema and gives no rows.
+    and text share a bucket; where such copies overfill one, they are numbered and scattered by their number, and no
+    other row's bucket changes. An empty table writes an empty folder's schema and gives no rows.
     """
     if shards < 1:
         raise ValueError("at least one shard is asked for")
     spark = python_tasks(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("shard", "slot")]
-    key = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 64
     total = docs.agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     buckets = max(1, -(-(total["bytes"] or 0) // bucket_bytes))
-    row = F.monotonically_increasing_id()
-    for salt in (F.lit(0).cast("long"), row):
-        placed = docs.select(*names, key.alias("_key"), salt.alias("_row"))
-        bucket = F.pmod(F.xxhash64("_key", "_row"), F.lit(buckets)).alias("_bucket")
-        counts = materialize(placed.select("*", bucket).groupBy("_bucket").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")), "shard-buckets")
-        if (counts.agg(F.max("bytes")).first()[0] or 0) <= 4 * bucket_bytes:
-            break
+    # the table's own columns inside one struct: no name can clash
+    placed = docs.select(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("key"), size.alias("size"),
+                         F.struct(*names).alias("row"))
+    bucket = F.pmod(F.xxhash64("key", "copy"), F.lit(buckets)).alias("bucket")
+    first = F.lit(0).cast("long").alias("copy")
+    sizes = placed.select("key", "size", first).groupBy(bucket).agg(F.sum("size").alias("bytes"))
+    overfull = sizes.filter(F.col("bytes") > 4 * bucket_bytes).select("bucket")
+    # a key of more than a bucket's bytes: fewer than there are buckets
+    hot = (placed.select("key", "size", first).withColumn("bucket", bucket).join(near(overfull, buckets), "bucket", "left_semi")
+           .groupBy("key").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > bucket_bytes).select("key"))
+    hot = materialize(hot, "shard-hot")
+    rows = placed.select("key", "row", first)
+    if not hot.isEmpty():
+        copies = _numbered(placed.join(near(hot, buckets), "key", "left_semi").select("key", "row"))
+        rows = rows.join(near(hot, buckets), "key", "left_anti").unionByName(copies)
+    counts = materialize(rows.select(bucket).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "shard-buckets")
     # one row a bucket, in one task: a hundred thousand rows for terabytes
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"),
-                            F.lit(total["rows"]).alias("_total"))
-    rows = placed.select("*", bucket).join(near(offsets, buckets), "_bucket")
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
+                            F.lit(total["rows"]).alias("total"))
     schema = docs.select(*names).schema.add("shard", "integer").add("slot", "long")
-    out = rows.groupBy("_bucket").applyInArrow(_permuting(shards, seed, names), schema)
+    out = (rows.withColumn("bucket", bucket).join(near(offsets, buckets), "bucket").groupBy("bucket")
+           .applyInArrow(_permuting(shards, seed), schema))
     out.write.mode("errorifexists").partitionBy("shard").parquet(path)
     return spark.read.schema(schema).parquet(path) if total["rows"] else spark.createDataFrame([], schema)

@@ -14,7 +14,7 @@ from martforge.llm import chat
 from martforge.llm.bpe import (Encoder, Lexicon, Vocabulary, compile_lexicon, decode_documents, decoded,
                                encode_documents)
 from martforge.llm.quality import NAMES, fit_on_corpus, held_out, statistics
-from martforge.llm.shard import shuffle_into_shards
+from martforge.llm.shard import fisher_yates, shuffle_into_shards
 from martforge.llm.token_files import Codebook, code_lengths, read_token_files, write_token_files
 
 SF001 = "/root/testdata/sf0.001"
@@ -121,7 +121,9 @@ def test_token_files(spark, library, tmp_root):
 @pytest.mark.parametrize("bucket_bytes", [1 << 20, 300])
 def test_shards(spark, tmp_root, bucket_bytes):
     rows = [(i, f"text {i % 7}") for i in range(101)] + [(5, "text 5")] * 20 + [(None, None), (200, ""), (201, "y" * 9000)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_bucket2", F.lit(1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for c in ("_key", "_bucket", "_row", "_offset", "_total", "key", "row", "copy", "bucket", "offset", "size"):
+        docs = docs.withColumn(c, F.lit(1))
     runs = []
     for n, parts in enumerate((3, 5)):
         got = shuffle_into_shards(docs.repartition(parts, "doc_id"), f"{tmp_root}/{bucket_bytes}-{n}", bucket_bytes=bucket_bytes).collect()
@@ -130,11 +132,49 @@ def test_shards(spark, tmp_root, bucket_bytes):
             slots = sorted(r.slot for r in got if r.shard == s)
             assert slots == list(range(len(slots))) and len(slots) in (len(rows) // 8, len(rows) // 8 + 1)
         runs.append(sorted(((r.shard, r.slot, r.text) for r in got), key=str))
-    if bucket_bytes > 300:
-        assert runs[0] == runs[1]  # the order doesn't follow from the partitions
+    assert runs[0] == runs[1]  # the order doesn't follow from the partitions
     assert shuffle_into_shards(docs.limit(0), f"{tmp_root}/{bucket_bytes}-none").count() == 0
 
 
+def plain_order(spark, rows, bucket_bytes, seed=20260):
+    """(doc_id, text) in the order of the shards, bucket by bucket."""
+    total = sum(len((t or "").encode()) + 64 for _, t in rows)
+    buckets = max(1, -(-total // bucket_bytes))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = [r[0] for r in frame.select(F.xxhash64(F.lit(seed), "doc_id", "text")).collect()]
+    weight, seen, placed = {}, {}, []
+    for key, (_, t) in zip(keys, rows):
+        weight[key] = weight.get(key, 0) + len((t or "").encode()) + 64
+    bucket = lambda pairs: [r[0] for r in spark.createDataFrame(pairs, "key long, copy long").select(
+        F.pmod(F.xxhash64("key", "copy"), F.lit(buckets))).collect()]
+    sizes = {}
+    for key, b in zip(weight, bucket([(k, 0) for k in weight])):
+        sizes[b] = sizes.get(b, 0) + weight[key]
+    first = dict(zip(weight, bucket([(k, 0) for k in weight])))
+    hot = {k for k in weight if weight[k] > bucket_bytes and sizes[first[k]] > 4 * bucket_bytes}
+    for key, row in zip(keys, rows):
+        copy = seen[key] = seen.get(key, -1) + 1
+        placed.append((key, copy if key in hot else 0, row))
+    of = {}
+    for b, item in zip(bucket([x[:2] for x in placed]), placed):
+        of.setdefault(b, []).append(item)
+    out = []
+    for b in sorted(of):
+        items = sorted(of[b], key=lambda x: x[:2])
+        out += [items[i][2] for i in fisher_yates(len(items), [seed, b])]
+    return out
+
+
+@pytest.mark.parametrize("bucket_bytes", [300, 2000])
+def test_shards_equal_plain_order(spark, tmp_root, bucket_bytes):
+    rows = [(i, f"text {i}") for i in range(100)] + [(7, "again and again")] * 200
+    want = plain_order(spark, rows, bucket_bytes)
+    for parts in (2, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = shuffle_into_shards(docs, f"{tmp_root}/{parts}", bucket_bytes=bucket_bytes).collect()
+        assert [(r.doc_id, r.text) for r in sorted(got, key=lambda r: (r.shard, r.slot))] == want
+
+
 def plain_cost(roles):
     """Least repair cost by trying every choice, turn by turn."""
     states = {0: 0}
