@@ -121,19 +121,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     as it is. All columns and all other rows stay, nulls as in ``scan``.
     """
     hits = (scan(docs, benchmark, id_col, text_col, n=n, **more).filter(F.size("hit") > 0)
-            .select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key"), F.col("hit").alias("_hit"))
-            .dropDuplicates(["_hit_id", "_hit_key"]))
-    same = F.col(id_col).eqNullSafe(F.col("_hit_id")) & (F.xxhash64(F.col(text_col)) == F.col("_hit_key"))
+            .select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"), "hit")
+            .dropDuplicates(["hit_id", "hit_key"]))
+    # the table's own columns inside one struct: no name can clash
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"),
+                       F.xxhash64(F.col(text_col)).alias("text_key"))
+    same = F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key"))
     if remove == "documents":
-        return docs.join(hits, same, "left_anti")
+        return rows.join(hits, same, "left_anti").select("row.*")
     if remove != "spans":
         raise ValueError(f"remove is 'documents' or 'spans', not {remove!r}")
     # the text before the first word, then each word with what follows it
     apart = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
     word = rf"[^{apart[1:-1]}]+{apart}*"
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(word), F.lit(0))
-    left = F.filter(pieces, lambda p, i: ~F.array_contains(F.col("_hit"), i))
-    cut = F.concat(F.regexp_extract(F.col(text_col), rf"^{apart}*", 0), F.concat_ws("", left))
-    return (docs.join(hits, same, "left")
-            .withColumn(text_col, F.when(F.col("_hit").isNull(), F.col(text_col)).otherwise(cut))
-            .select(*docs.columns))
+    text = F.col("row")[text_col]
+    pieces = F.regexp_extract_all(text, F.lit(word), F.lit(0))
+    left = F.filter(pieces, lambda p, i: ~F.array_contains(F.col("hit"), i))
+    cut = F.concat(F.regexp_extract(text, rf"^{apart}*", 0), F.concat_ws("", left))
+    kept = F.when(F.col("hit").isNull(), text).otherwise(cut)
+    return rows.join(hits, same, "left").select(
+        *[kept.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

@@ -93,7 +93,9 @@ def test_scan_on_odd_rows(spark, most):
 
 
 def test_decontaminate_removes_documents_or_spans(spark):
-    docs = spark.createDataFrame(DOCS, "doc_id long, text string").withColumn("extra", F.lit(1))
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    for c in ("extra", "_hit_id", "_hit_key", "_hit", "hit", "hit_id", "id", "row", "text_key", "words"):
+        docs = docs.withColumn(c, F.lit(1))
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     left = decontaminate(docs, items)
     assert left.columns == docs.columns
