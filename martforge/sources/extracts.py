@@ -7,6 +7,7 @@ part files (what ``write_extract`` produces), each with a header line.
 from __future__ import annotations
 
 import csv
+import re
 import uuid
 from dataclasses import dataclass
 from functools import reduce
@@ -42,26 +43,27 @@ class ExtractStatus:
 
 
 def list_extracts(spark: SparkSession, source_dir: str) -> dict[str, int]:
-    """Extract name -> total bytes, from a file listing (contents are not read).
+    """Extract name -> total bytes of the contract's extracts that are there (contents and file names are not read).
 
-    Presence comes from the file index (``inputFiles``), sizes from the
-    binary-file listing, which leaves zero-length files out: those are 0.
+    Whether an extract is there is asked by its path; sizes are summed in Spark from the binary-file listing of all of
+    them, one row per extract. That listing leaves zero-length files out: an extract of such files alone has 0 bytes.
     """
-    try:
-        listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-                   .option("recursiveFileLookup", "true").load(source_dir))
-    except AnalysisException:
-        return {}
-    root = source_dir.rstrip("/").split(":", 1)[-1].replace("file://", "")
-
-    def name_of(path: str) -> str:
-        rel = path[path.find(root) + len(root):].lstrip("/")
-        return rel.split("/", 1)[0]
-
-    sizes: dict[str, int] = {name_of(p): 0 for p in listing.inputFiles()}
-    # one row per extract
-    name = F.regexp_extract("path", r"/([^/]+\.csv)(?:/.*)?$", 1)
-    for r in listing.groupBy(name.alias("name")).agg(F.sum("length").alias("bytes")).collect():
+    root = source_dir.rstrip("/")
+    found = []
+    for name in RAW_FILES:
+        try:
+            spark.read.schema("value string").text(f"{root}/{name}")
+            found.append(name)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    sizes = dict.fromkeys(found, 0)
+    if not found:
+        return sizes
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load([f"{root}/{name}" for name in found]).select("path", "length"))
+    name = F.regexp_extract("path", f".*/({'|'.join(re.escape(n) for n in found)})(/|$)", 1)
+    for r in files.groupBy(name.alias("name")).agg(F.sum("length").alias("bytes")).collect():  # a row per extract
         sizes[r["name"]] = int(r["bytes"])
     return sizes
 
