@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from martforge.operators.combine import side_by_side
 from martforge.operators.joins import prefetch_row_counts
+from martforge.operators.skew import heavy_keys
 from martforge.plans import audit, checks, reconcile
 from martforge.plans.dims import build_dim_customer, build_dim_date, build_dim_product
 from martforge.plans.facts import build_fact_sales
@@ -147,7 +148,7 @@ def build(spark: SparkSession, staging: Staging, root: str,
 
     dims_before = _content(dims)
     fact = build_fact_sales(stg.order_items, stg.orders, dims["dim_customer"], dims["dim_product"],
-                            dims["dim_date"])
+                            dims["dim_date"], heavy_orders=heavy_keys(stg.order_items, "order_id"))
     if month_partitions:
         write_months(fact, f"{vdir}/fact_sales")
     else:
