@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.operators.combine import side_by_side
+from martforge.operators.joins import row_count
+from martforge.operators.sizing import sized_shuffles
 from martforge.plans import audit, checks, marts, reconcile, views
 from martforge.plans.dims import build_dim_customer, build_dim_date, build_dim_product
 from martforge.plans.facts import build_fact_sales
@@ -88,13 +90,14 @@ def published_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             return _MEMO[key]
         root = f"{scratch_root(spark)}/martforge/warehouse-{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
         rid = Store(spark, root).current(fingerprint=fp)
-        try:
-            wh = Warehouse(spark, root, rid) if rid else build(spark, derived_staging(spark, sf_dir), root,
-                                                               fingerprint=fp)
-        except CommitConflict:  # another session published meanwhile, perhaps from the same inputs
-            rid = Store(spark, root).current(fingerprint=fp)
-            wh = Warehouse(spark, root, rid) if rid else build(spark, derived_staging(spark, sf_dir), root,
-                                                               fingerprint=fp)
+        with sized_shuffles(spark, 0 if rid else tpch.read_table(spark, sf_dir, "lineitem").count()):
+            try:
+                wh = Warehouse(spark, root, rid) if rid else build(spark, derived_staging(spark, sf_dir), root,
+                                                                   fingerprint=fp)
+            except CommitConflict:  # another session published meanwhile, perhaps from the same inputs
+                rid = Store(spark, root).current(fingerprint=fp)
+                wh = Warehouse(spark, root, rid) if rid else build(spark, derived_staging(spark, sf_dir), root,
+                                                                   fingerprint=fp)
         _MEMO[key] = wh
         return wh
 
@@ -153,7 +156,9 @@ def q_dim_customer_scd2(spark, sf_dir):
 
 
 def _star(spark, sf_dir) -> tuple[Staging, list[DataFrame]]:
+    """Staged tables and dimensions; orders and lines are stored, as they are read several times."""
     s = _stg(spark, sf_dir)
+    s = s.replace(orders=materialize(s.orders, "orders"), order_items=materialize(s.order_items, "lines"))
     return s, [materialize(d, "dims") for d in (build_dim_customer(s.customers), build_dim_product(s.products),
                                                 build_dim_date(s.orders))]
 
@@ -241,6 +246,17 @@ def _wh(spark, sf_dir) -> Warehouse:
     return published_warehouse(spark, sf_dir)
 
 
+def _sized(wh: Warehouse):
+    """Shuffles sized by the largest staged table, whose rows the files' footers tell."""
+    return sized_shuffles(wh.spark, row_count(wh.table("stg_order_items")))
+
+
+def _few(wh: Warehouse, rows: Callable[[], DataFrame], label: str) -> DataFrame:
+    """A result of few rows over large tables, computed and stored here, where its shuffles can be sized."""
+    with _sized(wh):
+        return materialize(rows(), label)
+
+
 def _dims(wh: Warehouse) -> dict[str, DataFrame]:
     return {n: wh.table(n) for n in ("dim_customer", "dim_product", "dim_date")}
 
@@ -272,12 +288,13 @@ def _single(check_name: str, mutated: bool = False):
         t = dict(stg.tables())
         t.update(_dims(wh))
         t["fact_sales"] = wh.table("fact_sales")
-        return checks.measure_one(checks.by_name(check_name), t)
+        return _few(wh, lambda: checks.measure_one(checks.by_name(check_name), t), "check")
     return q
 
 
 def q_dq_issues(spark, sf_dir):
-    return views.dq_issues(_wh(spark, sf_dir).staging().tables())
+    wh = _wh(spark, sf_dir)
+    return _few(wh, lambda: views.dq_issues(wh.staging().tables()), "dq-issues")
 
 
 def q_dim_date_bounds(spark, sf_dir):
@@ -301,7 +318,8 @@ def q_fact_metrics(spark, sf_dir):
 
 def _source_totals(wh: Warehouse) -> DataFrame:
     d = _dims(wh)
-    return reconcile.source_totals(wh.staging(), d["dim_customer"], d["dim_product"], d["dim_date"])
+    return _few(wh, lambda: reconcile.source_totals(wh.staging(), d["dim_customer"], d["dim_product"], d["dim_date"]),
+                "source-totals")
 
 
 def q_recon_source_totals(spark, sf_dir):
@@ -318,16 +336,19 @@ def _audit(wh: Warehouse) -> DataFrame:
 
 
 def q_excluded_rows(spark, sf_dir):
-    bal = audit.line_balance(_audit(_wh(spark, sf_dir)))
+    wh = _wh(spark, sf_dir)
+    bal = _few(wh, lambda: audit.line_balance(_audit(wh)), "line-balance")
     return bal.select("staged_rows", F.col("loadable_rows").alias("valid_rows"), "excluded_rows")
 
 
 def q_exclusion_audit(spark, sf_dir):
-    return audit.exclusion_summary(_audit(_wh(spark, sf_dir)))
+    wh = _wh(spark, sf_dir)
+    return _few(wh, lambda: audit.exclusion_summary(_audit(wh)), "exclusions")
 
 
 def q_quarantine_lines(spark, sf_dir):
-    return audit.excluded_lines(_audit(_wh(spark, sf_dir)))
+    wh = _wh(spark, sf_dir)
+    return _few(wh, lambda: audit.excluded_lines(_audit(wh)), "excluded-lines")
 
 
 def _recon_wide(wh: Warehouse) -> DataFrame:
@@ -350,11 +371,12 @@ def q_wh_coverage(spark, sf_dir):
 def _report(wh: Warehouse, mutated: bool = False) -> DataFrame:
     stg = wh.staging()
     fact = wh.table("fact_sales")
-    if mutated:
-        # the written quarantine belongs to the clean staging: audit the mutated lines afresh
-        return checks.report(checks.all_checks(), check_tables(mutated_staging(stg), _dims(wh),
-                                                               tpch.fact_sales_mut(fact)))
-    return checks.report(checks.all_checks(), check_tables(stg, _dims(wh), fact, wh.table("quarantine")))
+    with _sized(wh):
+        if mutated:
+            # the written quarantine belongs to the clean staging: audit the mutated lines afresh
+            return checks.evaluate(checks.all_checks(), check_tables(mutated_staging(stg), _dims(wh),
+                                                                     tpch.fact_sales_mut(fact)))
+        return checks.evaluate(checks.all_checks(), check_tables(stg, _dims(wh), fact, wh.table("quarantine")))
 
 
 def q_validation_report(spark, sf_dir):

@@ -76,8 +76,14 @@ def count_rows(df: DataFrame, alias: str = "actual") -> DataFrame:
     return df.agg(F.count(F.lit(1)).cast("bigint").alias(alias))
 
 
-def duplicate_keys(df: DataFrame, key_cols: list[str], alias: str = "actual") -> DataFrame:
-    """Number of key values held by more than one row (NULL is one value)."""
+def duplicate_keys(df: DataFrame, key_cols: list[str], alias: str = "actual", unlike: bool = False) -> DataFrame:
+    """Number of key values held by more than one row (NULL is one value).
+
+    ``unlike``: nearly all keys differ, as surrogate keys do. Counting them before the shuffle would fill the memory of
+    each task and spill without making rows fewer, so the keys are dealt out first.
+    """
+    if unlike:
+        df = df.select(*key_cols).repartition(*key_cols)
     dup = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     return count_rows(dup, alias)
 

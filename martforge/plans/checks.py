@@ -55,8 +55,8 @@ class Expectations:
 
 # --- frames for checks that need more than one predicate ------------------------
 
-def _dup(table: str, keys: list[str]):
-    return lambda t: duplicate_keys(t[table], keys)
+def _dup(table: str, keys: list[str], unlike: bool = False):
+    return lambda t: duplicate_keys(t[table], keys, unlike=unlike)
 
 
 def _order_before_signup(t: Tables) -> DataFrame:
@@ -184,7 +184,7 @@ def warehouse_checks() -> list[Check]:
         Check("calendar_bounds_mismatches", "dimensions", "zero", frame=_dims_vs_staging, column="bound_mismatches"),
         Check("fact_rows", "fact", "equals", frame=_recon_frame, column="fact_rows",
               expected_column="source_valid_rows"),
-        Check("duplicate_sales_keys", "fact", "zero", frame=_dup("fact_sales", ["sales_key"])),
+        Check("duplicate_sales_keys", "fact", "zero", frame=_dup("fact_sales", ["sales_key"], unlike=True)),
         Check("fact_nulls", "fact", "zero", "fact_flags", lambda: any_null(REQUIRED["fact_sales"])),
         Check("fact_invalid_quantities", "fact", "zero", "fact_flags", lambda: F.col("quantity") <= 0),
         Check("sales_amount_mismatches", "fact", "zero", "fact_flags", wrong_amount),

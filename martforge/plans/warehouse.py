@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from martforge.operators.combine import side_by_side
 from martforge.operators.joins import prefetch_row_counts
+from martforge.operators.sizing import sized_shuffles
 from martforge.operators.skew import heavy_keys
 from martforge.plans import audit, checks, reconcile
 from martforge.plans.dims import build_dim_customer, build_dim_date, build_dim_product
@@ -114,7 +115,8 @@ def build(spark: SparkSession, staging: Staging, root: str,
 
     The fact is written in its key order: each file holds a contiguous range of
     sales keys (range partitions of the key build), so file and row-group
-    statistics on ``sales_key``/``order_id`` prune order lookups. With
+    statistics on ``sales_key``/``order_id`` prune order lookups. Shuffles are
+    sized by the staged rows (see ``sizing``). With
     ``month_partitions`` it is clustered into ``year_month=`` folders instead
     (see ``months``), for date pruning and month-wise replacement.
     """
@@ -132,49 +134,50 @@ def build(spark: SparkSession, staging: Staging, root: str,
         _write_rejects(spark, intake, pre, vdir, reject_share)
     step("staging")
 
-    stg_checks = checks.configure(checks.staging_checks(), expectations)
-    rows = _collect_report(checks.evaluate(stg_checks, stg.tables()), f"{vdir}/_staging_report")
-    checks.raise_on_failures(rows, checks.too_frequent(rows, pre, anomaly_share))
-    staging_rows = rows
-    step("staging_gate")
-
-    _concurrently([
-        lambda: build_dim_customer(stg.customers).write.mode("errorifexists").parquet(f"{vdir}/dim_customer"),
-        lambda: build_dim_product(stg.products).write.mode("errorifexists").parquet(f"{vdir}/dim_product"),
-        lambda: build_dim_date(stg.orders).write.mode("errorifexists").parquet(f"{vdir}/dim_date"),
-    ])
-    dims = {n: spark.read.parquet(f"{vdir}/{n}") for n in DIMENSIONS}
-    step("dimensions")
-
-    dims_before = _content(dims)
-    fact = build_fact_sales(stg.order_items, stg.orders, dims["dim_customer"], dims["dim_product"],
-                            dims["dim_date"], heavy_orders=heavy_keys(stg.order_items, "order_id"))
-    if month_partitions:
-        write_months(fact, f"{vdir}/fact_sales")
-    else:
-        fact.write.mode("errorifexists").parquet(f"{vdir}/fact_sales")
-    fact = spark.read.parquet(f"{vdir}/fact_sales").select(*columns(FACT_SALES))
-    step("fact")
-
-    lines = audit.line_audit(stg, dims["dim_customer"], dims["dim_product"], dims["dim_date"])
-    audit.excluded_lines(lines).write.mode("errorifexists").parquet(f"{vdir}/quarantine")
-    step("quarantine")
-
-    # staging is immutable, so its checks hold as they were; the rest is measured now
-    measured = {r["check"] for r in staging_rows}
-    all_checks = [c for c in checks.all_checks(expectations) if c.name not in measured]
-    quarantine = spark.read.parquet(f"{vdir}/quarantine")
-    found = checks.evaluate(all_checks, check_tables(stg, dims, fact, quarantine))
-    rows = _collect_report(spark.read.parquet(f"{vdir}/_staging_report").unionByName(found),
-                           f"{vdir}/validation_report")
-    post = _content(read_staging(spark, vdir).tables())
-    if pre_content != post:
-        raise checks.GateFailed(f"staging changed during the build: {pre_content} -> {post}")
-    dims_after = _content({n: spark.read.parquet(f"{vdir}/{n}") for n in DIMENSIONS})
-    if dims_before != dims_after:
-        raise checks.GateFailed(f"dimensions changed during the fact load: {dims_before} -> {dims_after}")
-    checks.raise_on_failures(rows)
-    step("warehouse_gate")
+    with sized_shuffles(spark, max(pre.values())):
+        stg_checks = checks.configure(checks.staging_checks(), expectations)
+        rows = _collect_report(checks.evaluate(stg_checks, stg.tables()), f"{vdir}/_staging_report")
+        checks.raise_on_failures(rows, checks.too_frequent(rows, pre, anomaly_share))
+        staging_rows = rows
+        step("staging_gate")
+
+        _concurrently([
+            lambda: build_dim_customer(stg.customers).write.mode("errorifexists").parquet(f"{vdir}/dim_customer"),
+            lambda: build_dim_product(stg.products).write.mode("errorifexists").parquet(f"{vdir}/dim_product"),
+            lambda: build_dim_date(stg.orders).write.mode("errorifexists").parquet(f"{vdir}/dim_date"),
+        ])
+        dims = {n: spark.read.parquet(f"{vdir}/{n}") for n in DIMENSIONS}
+        step("dimensions")
+
+        dims_before = _content(dims)
+        fact = build_fact_sales(stg.order_items, stg.orders, dims["dim_customer"], dims["dim_product"],
+                                dims["dim_date"], heavy_orders=heavy_keys(stg.order_items, "order_id"))
+        if month_partitions:
+            write_months(fact, f"{vdir}/fact_sales")
+        else:
+            fact.write.mode("errorifexists").parquet(f"{vdir}/fact_sales")
+        fact = spark.read.parquet(f"{vdir}/fact_sales").select(*columns(FACT_SALES))
+        step("fact")
+
+        lines = audit.line_audit(stg, dims["dim_customer"], dims["dim_product"], dims["dim_date"])
+        audit.excluded_lines(lines).write.mode("errorifexists").parquet(f"{vdir}/quarantine")
+        step("quarantine")
+
+        # staging is immutable, so its checks hold as they were; the rest is measured now
+        measured = {r["check"] for r in staging_rows}
+        all_checks = [c for c in checks.all_checks(expectations) if c.name not in measured]
+        quarantine = spark.read.parquet(f"{vdir}/quarantine")
+        found = checks.evaluate(all_checks, check_tables(stg, dims, fact, quarantine))
+        rows = _collect_report(spark.read.parquet(f"{vdir}/_staging_report").unionByName(found),
+                               f"{vdir}/validation_report")
+        post = _content(read_staging(spark, vdir).tables())
+        if pre_content != post:
+            raise checks.GateFailed(f"staging changed during the build: {pre_content} -> {post}")
+        dims_after = _content({n: spark.read.parquet(f"{vdir}/{n}") for n in DIMENSIONS})
+        if dims_before != dims_after:
+            raise checks.GateFailed(f"dimensions changed during the fact load: {dims_before} -> {dims_after}")
+        checks.raise_on_failures(rows)
+        step("warehouse_gate")
 
     store.commit(run_id, fingerprint, parent)
     step("commit")
