@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from martforge.operators.joins import sized_broadcast
+from martforge.operators.sizing import sized_shuffles
 from martforge.plans.facts import FACT_KEY_ORDER, fact_rows, order_keys
 from martforge.plans.publish import write_once
 from martforge.schemas import FACT_SALES, STG_ORDER_ITEMS, STG_ORDERS, columns
@@ -102,14 +103,15 @@ class MaintainedFact:
 
         ``dims`` are dim_customer, dim_product and dim_date. Orders that came late, lost or gained lines, changed in
         any value that the fact has, or went away are found by comparing the manifests; all other ranges are neither
-        read nor written.
+        read nor written. Shuffles are sized by the lines (counted first; cheap where they are stored).
         """
-        wanted = materialize(self.contents(lines, orders, dims), "order-contents")
-        old = self.manifest().select("order_id", F.col("n_lines").alias("old_n"), F.col("content").alias("old"))
-        same = F.col("content").eqNullSafe(F.col("old")) & F.col("n_lines").eqNullSafe(F.col("old_n"))
-        changed = wanted.join(old, "order_id", "full").where(~same)
-        ranges = materialize(changed.select(self._range()).distinct(), "order-ranges")
-        self.replace(ranges, lines, orders, dims, wanted)
+        with sized_shuffles(self.spark, lines.count()):
+            wanted = materialize(self.contents(lines, orders, dims), "order-contents")
+            old = self.manifest().select("order_id", F.col("n_lines").alias("old_n"), F.col("content").alias("old"))
+            same = F.col("content").eqNullSafe(F.col("old")) & F.col("n_lines").eqNullSafe(F.col("old_n"))
+            changed = wanted.join(old, "order_id", "full").where(~same)
+            ranges = materialize(changed.select(self._range()).distinct(), "order-ranges")
+            self.replace(ranges, lines, orders, dims, wanted)
         return ranges
 
     def replace(self, ranges: DataFrame, lines: DataFrame, orders: DataFrame, dims: list[DataFrame],
@@ -120,19 +122,21 @@ class MaintainedFact:
         these = lambda table: (table.withColumn(RANGE, self._range())
                                .join(sized_broadcast(ranges, size_of=ranges), RANGE, "left_semi"))
         lines, orders = these(lines), these(orders)
-        rows = fact_rows(lines, orders, *dims).withColumn(RANGE, self._range())
-        place = F.row_number().over(Window.partitionBy(RANGE).orderBy(*[F.col(c).asc_nulls_last() for c in FACT_KEY_ORDER]))
-        marker = ranges.select(RANGE, F.lit(0).cast("long").alias("place"))
-        self._overwrite(rows.withColumn("place", place.cast("long")).select(RANGE, "place", *_ROW)
-                        .unionByName(marker, allowMissingColumns=True), "fact")
+        rows = fact_rows(lines, orders, *dims).withColumn(RANGE, self._range()).withColumn("row", F.lit(1))
+        # The marker is first in its range, so counting from 0 gives it place 0; rows are dealt out and sorted once.
+        both = rows.unionByName(ranges.select(RANGE, F.lit(0).alias("row")), allowMissingColumns=True)
+        order = [F.col("row"), *[F.col(c).asc_nulls_last() for c in FACT_KEY_ORDER]]
+        place = F.row_number().over(Window.partitionBy(RANGE).orderBy(*order)) - 1
+        self._overwrite(both.withColumn("place", place.cast("long")).select(RANGE, "place", *_ROW), "fact")
         contents = self.contents(lines, orders, dims) if contents is None else these(contents)
         entries = contents.select(self._range(), "order_id", "n_lines", "content")
-        self._overwrite(entries.unionByName(ranges.select(RANGE), allowMissingColumns=True), "manifest")
+        self._overwrite(entries.unionByName(ranges.select(RANGE), allowMissingColumns=True)
+                        .repartition(RANGE).sortWithinPartitions(RANGE, "order_id"), "manifest")
 
     def _overwrite(self, rows: DataFrame, part: str) -> None:
-        order = "place" if part == "fact" else "order_id"
-        (rows.repartition(RANGE).sortWithinPartitions(RANGE, order).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(RANGE).parquet(f"{self.root}/{part}"))
+        """Replace the ranges of ``rows``, of which each is in one task, sorted."""
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RANGE)
+         .parquet(f"{self.root}/{part}"))
 
     # -- streaming ----------------------------------------------------------------------------------------------
 
