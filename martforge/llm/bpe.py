@@ -33,9 +33,6 @@ _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{
 _OTHER = re.compile("[^\t-\r -~\xa1-ɏ]")
 #: Longest word, in bytes, that is merged in the batch; longer ones are merged one by one.
 _SHORT = 48
-#: Units that a worker remembers.
-_CACHE = 500_000
-
 
 class Vocabulary:
     """Merges and ids of a byte-level BPE file of the tokenizers library."""
@@ -227,6 +224,9 @@ class Lexicon:
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them (no special tokens added, no truncation or padding)."""
 
+    #: Units that a worker remembers.
+    REMEMBERED = 500_000
+
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         from tokenizers import Tokenizer
         self.vocabulary, self.lexicon, self.library = vocabulary, lexicon, Tokenizer.from_file(vocabulary.path)
@@ -277,7 +277,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.after) > _CACHE or len(self.exact) > _CACHE:
+        if len(self.after) > self.REMEMBERED or len(self.exact) > self.REMEMBERED:
             self.after.clear(), self.exact.clear()
         rows = [self.units(t) for t in texts]
         other = [self.pieces(t) if row is None else row[:1] for t, row in zip(texts, rows)]

@@ -8,7 +8,7 @@ at any checkpoint; the reader decodes all checkpoints of a block side by side by
 
 from __future__ import annotations
 
-import zlib
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -101,15 +101,45 @@ _LOADED: dict = {}
 
 
 class LibraryEncoder(Encoder):
-    """The tokenizers library on what it has not encoded before (texts fall into units that never merge)."""
+    """The tokenizers library on what it has not encoded before (texts fall into units that never merge).
+
+    It gets ``AT_ONCE`` units at a time, as its results take far more memory than their ids. Units that follow a space
+    stand side by side in one text, as they do in documents: words never reach over the space, so the ids of such a text
+    are those of its units, and the bytes of the ids tell where one ends.
+    """
+
+    AT_ONCE = 4096
+    REMEMBERED = 200_000  # units; some 200 bytes each in every worker
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         super().__init__(Vocabulary(path), Lexicon(compile_lexicon([], [])))
         self.library.no_truncation(), self.library.no_padding()
+        self.bytes_in = np.array([len(x) for x in self.vocabulary.bytes_of], np.int64)
+        self.apart = any(c.isspace() for x in self.added for c in x)  # then added tokens could reach over units
 
     def _learn(self, new, texts, known):
-        for unit, found in zip(new, self.library.encode_batch_fast(texts, add_special_tokens=False)):
-            known[unit] = np.array(found.ids, "<u4").tobytes()
+        for at in range(0, len(new), self.AT_ONCE):
+            units, some = new[at:at + self.AT_ONCE], texts[at:at + self.AT_ONCE]
+            if known is self.after and not self.apart:
+                # white space at a unit's end would make a run with what follows
+                lone = [x[-1].isspace() for x in some]
+                self._learn_joined([u for u, x in zip(units, lone) if not x], [t for t, x in zip(some, lone) if not x], known)
+                units, some = [u for u, x in zip(units, lone) if x], [t for t, x in zip(some, lone) if x]
+            for unit, found in zip(units, self.library.encode_batch_fast(some, add_special_tokens=False)):
+                known[unit] = np.array(found.ids, "<u4").tobytes()
+
+    def _learn_joined(self, units, texts, known):
+        for at in range(0, len(units), 256):
+            some = [t.encode() for t in texts[at:at + 256]]
+            ids = np.array(self.library.encode_batch_fast([b"".join(some).decode()], add_special_tokens=False)[0].ids, np.int64)
+            reached, wanted = np.cumsum(self.bytes_in[ids]), np.cumsum([len(t) for t in some])
+            ends = np.searchsorted(reached, wanted)
+            if len(reached) != ends[-1] + 1 or (reached[ends] != wanted).any():
+                raise ValueError("a token reaches over a space")
+            raw, ends = ids.astype("<u4").tobytes(), (4 * ends + 4).tolist()
+            for unit, a, b in zip(units[at:at + 256], [0, *ends], ends):
+                known[unit] = raw[a:b]
 
 
 def _tokenising(path: str, end_id: int):
@@ -226,18 +256,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return blocks.join(starts, "place").mapInArrow(_decoding(shared), "doc_id long, start long, ids binary")
 
 
-def _digest(batches):
-    for batch in batches:
-        ids = batch.column(2)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array([len(x.as_buffer()) // 4 for x in ids], pa.int64()),
-             pa.array([zlib.crc32(x.as_buffer()) for x in ids], pa.int64())],
-            ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-
 def token_digests(docs: DataFrame, vocabulary: str, end_id: int = 2) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from files written to the shared scratch folder."""
     path = scratch_path(docs.sparkSession, "token-files")
     write_token_files(docs, path, vocabulary, end_id)
-    return read_token_files(docs.sparkSession, path).mapInArrow(
-        _digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_token_files(docs.sparkSession, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
