@@ -33,6 +33,42 @@ _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{
 _OTHER = re.compile("[^\t-\r -~\xa1-ɏ]")
 #: Longest word, in bytes, that is merged in the batch; longer ones are merged one by one.
 _SHORT = 48
+#: Bits of a place in such a word, and the rank of pairs that don't merge.
+_PLACE_BITS, NONE = 6, 1 << 40
+
+class PairTable:
+    """Ranks of the pairs of symbols that merge: an open hash table, looked up for many pairs at a time."""
+
+    def __init__(self, pairs: np.ndarray):
+        self.shift = np.uint64(64 - max(4, (4 * len(pairs)).bit_length()))
+        self.pair = np.full(1 << 64 - int(self.shift), -1, np.int64)
+        self.rank = np.full(len(self.pair), NONE, np.int64)
+        left = np.arange(len(pairs))
+        slot = self._slot(pairs)
+        while len(left):
+            free = self.pair[slot] < 0
+            self.pair[slot[free]] = pairs[left[free]]
+            here = self.pair[slot] == pairs[left]
+            np.minimum.at(self.rank, slot[here], left[here])
+            left, slot = left[~here], slot[~here] + 1 & len(self.pair) - 1
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def find(self, pairs: np.ndarray) -> np.ndarray:
+        """Rank of each pair, ``NONE`` where the table doesn't have it."""
+        slot = self._slot(pairs)
+        found = self.pair[slot]
+        out = np.where(found == pairs, self.rank[slot], NONE)
+        left = np.flatnonzero((found != pairs) & (found >= 0))
+        while len(left):
+            slot = slot + 1 & len(self.pair) - 1
+            found = self.pair[slot[left]]
+            here = found == pairs[left]
+            out[left[here]] = self.rank[slot[left[here]]]
+            left = left[~here & (found >= 0)]
+        return out
+
 
 class Vocabulary:
     """Merges and ids of a byte-level BPE file of the tokenizers library."""
@@ -63,20 +99,20 @@ class Vocabulary:
         char_of = {b: c for c, b in self.byte_of.items()}
         self.first = np.array([ids[char_of[b]] for b in range(256)], np.int64)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        pairs = np.array([ids[a] * self.size + ids[b] for a, b in merges], np.int64)
-        into = np.array([ids[a + b] for a, b in merges], np.int64)
-        order = np.argsort(pairs, kind="stable")
-        self.pairs, self.ranks, self.into = pairs[order], order, into[order]
+        self.pairs = PairTable(np.array([ids[a] * (self.size + 1) + ids[b] for a, b in merges], np.int64))
+        self.into = np.array([ids[a + b] for a, b in merges], np.int64)
 
-    def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank of each pair (a large number: none) and its place in the table."""
-        key = left * self.size + right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == key, self.ranks[at], 1 << 40), at
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, ``NONE`` for what is no merge; the id ``size`` stands for no symbol."""
+        return self.pairs.find(left * (self.size + 1) + right)
 
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word: again and again the first pair of lowest rank becomes one symbol."""
-        out: list = [None] * len(words)
+        return [np.frombuffer(x, "<u4").astype(np.int64) for x in self.merged(words)]
+
+    def merged(self, words: list[bytes]) -> list[bytes]:
+        """The ids of ``merge`` as little-endian unsigned 32-bit integers."""
+        out: list = [b""] * len(words)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))  # words of like length share a batch
         at = 0
         while at < len(order) and len(words[order[at]]) <= _SHORT:
@@ -85,36 +121,55 @@ class Vocabulary:
                 out[i] = ids
             at += len(some)
         for i in order[at:]:
-            out[i] = self._merge_long(words[i])
+            out[i] = self._merge_long(words[i]).astype("<u4").tobytes()
         return out
 
-    def _merge_batch(self, words: list[bytes]) -> list[np.ndarray]:
+    def _merge_batch(self, words: list[bytes]) -> list[bytes]:
+        """A column for each word, a row for each place; symbols keep their place and know their neighbours."""
         n, size = len(words), np.fromiter(map(len, words), np.int64, len(words))
-        symbol = np.full((n, size.max() + 1), -1, np.int64)
+        width = int(size.max())
+        if not width:
+            return [b""] * n
         raw = np.frombuffer(b"".join(words), np.uint8)
-        symbol[np.repeat(np.arange(n), size), np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)] = self.first[raw]
+        place = np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)
+        symbol = np.full((width + 1, n), self.size, np.int64)  # the last row: no symbol, before the first and after the last
+        symbol[place, np.repeat(np.arange(n), size)] = self.first[raw]
+        rows = np.arange(width)[:, None]
+        best = self._rank(symbol[:-1].ravel(), symbol[1:].ravel()).reshape(width, n) << _PLACE_BITS | rows  # rank, then place
+        after = np.repeat(np.minimum(np.arange(1, width + 2), width)[:, None], n, 1)
+        before = np.repeat(np.concatenate((([width], np.arange(width))))[:, None], n, 1)
         live = np.arange(n)
-        while len(live):
-            s = symbol[live]
-            rank, at = self._rank(s[:, :-1], s[:, 1:])
-            rank[s[:, 1:] < 0] = 1 << 40
-            row, best = np.arange(len(live)), rank.argmin(axis=1)
-            go = rank[row, best] < 1 << 40
-            live, s, at, best = live[go], s[go], at[row, best][go], best[go]
-            if len(live):
-                s[:, :-1] = np.where(np.arange(s.shape[1] - 1) > best[:, None], s[:, 1:], s[:, :-1])
-                s[:, -1] = -1
-                s[np.arange(len(live)), best] = self.into[at]
-                symbol[live] = s
-        return [ids[:k] for ids, k in zip(symbol, (symbol >= 0).sum(axis=1).tolist())]
+        while True:
+            low = best[:, live].min(axis=0)
+            go = low < NONE << _PLACE_BITS
+            live, low = live[go], low[go]
+            if not len(live):
+                break
+            p = low & (1 << _PLACE_BITS) - 1
+            q = after[p, live]
+            new = self.into[low >> _PLACE_BITS]
+            following, last = after[q, live], before[p, live]
+            symbol[p, live], symbol[q, live] = new, self.size
+            after[p, live] = following
+            before[following, live] = p
+            best[q, live] = NONE << _PLACE_BITS
+            best[p, live] = self._rank(new, symbol[following, live]) << _PLACE_BITS | p
+            some = last < width
+            o, l = last[some], live[some]
+            best[o, l] = self._rank(symbol[o, l], new[some]) << _PLACE_BITS | o
+        symbol = symbol[:-1].T
+        left = symbol < self.size
+        ids = symbol[left].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(left.sum(axis=1))).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
     def _merge_long(self, word: bytes) -> np.ndarray:
         """All pairs of the lowest rank at a time, from the left; a merge never makes a pair of lower rank than its own."""
         s = self.first[np.frombuffer(word, np.uint8)]
         while len(s) > 1:
-            rank, at = self._rank(s[:-1], s[1:])
+            rank = self._rank(s[:-1], s[1:])
             low = rank.min()
-            if low == 1 << 40:
+            if low == NONE:
                 break
             hits, last = [], -2
             for p in np.flatnonzero(rank == low).tolist():
@@ -122,7 +177,7 @@ class Vocabulary:
                     hits.append(p)
                     last = p
             hits = np.array(hits)
-            s[hits] = self.into[at[hits]]
+            s[hits] = self.into[low]
             s = np.delete(s, hits + 1)
         return s
 
@@ -266,14 +321,15 @@ class Encoder:
 
     def _learn(self, new: list[str], texts: list[str], known: dict[str, bytes]) -> None:
         """Ids of new units whose texts are given."""
-        split = [[w.encode() for w in self.words(t)] for t in texts]
+        split_at = _SPLIT.findall if known is self.after else self.words  # what follows a space is Latin
+        split = [[w.encode() for w in split_at(t)] for t in texts]
         distinct = list(dict.fromkeys(w for words in split for w in words))
         ranks = self.lexicon.find(distinct)
         ids = {w: self.lexicon.ids_of(r).tobytes() for w, r in zip(distinct, ranks.tolist()) if r >= 0}
         unseen = [w for w in distinct if w not in ids]
-        ids.update((w, x.astype("<u4").tobytes()) for w, x in zip(unseen, self.vocabulary.merge(unseen)))
+        ids.update(zip(unseen, self.vocabulary.merged(unseen)))
         for unit, words in zip(new, split):
-            known[unit] = b"".join(map(ids.__getitem__, words))
+            known[unit] = ids[words[0]] if len(words) == 1 else b"".join(map(ids.__getitem__, words))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
