@@ -27,11 +27,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm import python_tasks
+from martforge.llm import materialize, python_tasks
 from martforge.llm.graph import connected_components
 from martforge.llm.rounds import linked_in_rounds, near
 from martforge.llm.shingles import WordHashes, as_long, batches_of, mixed, shingle_set
-from martforge.session import materialize
 
 #: Counters of the sketch; 8 MB.
 SKETCH_BITS = 21
