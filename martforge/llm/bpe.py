@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm import python_tasks
+from martforge.llm import KEPT, python_tasks
 from martforge.llm.shingles import batches_of
 from martforge.session import materialize
 
@@ -367,6 +367,7 @@ def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -
 
 
 _LOADED: dict = {}
+KEPT.append(_LOADED)
 
 
 def encoder(path: str, lexicon: bytes, key: str) -> Encoder:
