@@ -41,17 +41,26 @@ def prefetch_row_counts(frames: list[DataFrame]) -> None:
         _ROWS[todo[r["i"]]] = r["n"]
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as the lookup side of a join that Spark must not broadcast by its own estimate.
+
+    That estimate is a share of the files' compressed bytes: 8 MB for 7.2 million keys with prices, which the driver would
+    collect and hash in hundreds of MB.
+    """
+    return df.hint("merge")
+
+
 def sized_broadcast(df: DataFrame, max_rows: int | None = None, size_of: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` when its row count is within the limit, else ``df``.
+    """``broadcast(df)`` when its row count is within the limit, else a shuffle join.
 
     ``size_of``: the table ``df`` projects (same rows), whose remembered count
     can be reused.
 
     The count is an action; call it on materialised (parquet) lookup tables,
-    where it is answered from file footers. Past the limit the join is left
-    to AQE (shuffle join, with skew splitting of hot keys).
+    where it is answered from file footers. Past the limit both sides are
+    shuffled (AQE splits hot keys), whatever Spark would estimate.
     """
-    return F.broadcast(df) if fits_broadcast(df if size_of is None else size_of, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df if size_of is None else size_of, max_rows) else shuffled(df)
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
@@ -99,9 +108,8 @@ def with_match(child: DataFrame, parent: DataFrame, child_key: str, flag: str,
     pk = parent_key or child_key
     alias = f"_mf_k_{flag}"
     keys = parent.select(F.col(pk).alias(alias)).distinct().withColumn(flag, F.lit(True))
-    if fits_broadcast(parent):
-        # Decided before planning, so the child is not shuffled for a join
-        # that AQE would only later turn into a broadcast.
-        keys = F.broadcast(keys)
+    # Decided before planning, so the child is not shuffled for a join
+    # that AQE would only later turn into a broadcast.
+    keys = sized_broadcast(keys, size_of=parent)
     joined = child.join(keys, F.col(child_key) == F.col(alias), "left").drop(alias)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

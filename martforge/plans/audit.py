@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.operators.joins import fits_broadcast
+from martforge.operators.joins import sized_broadcast
 from martforge.plans.staging import Staging
 
 # Exclusion reasons, in precedence order (first = primary).
@@ -14,7 +14,7 @@ REASONS = ("null_quantity", "invalid_quantity", "orphan_product", "orphan_order"
 
 
 def _lookup(keys: DataFrame, dim: DataFrame) -> DataFrame:
-    return F.broadcast(keys) if fits_broadcast(dim) else keys
+    return sized_broadcast(keys, size_of=dim)
 
 
 def order_status(stg: Staging, dim_customer: DataFrame, dim_date: DataFrame) -> DataFrame:

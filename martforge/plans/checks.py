@@ -26,7 +26,7 @@ from martforge.functions.expr import abs_diff, any_null
 from martforge.functions.expr import UNKNOWN_CITY
 from martforge.operators.calendar import day_series
 from martforge.operators.combine import side_by_side
-from martforge.operators.joins import count_rows, duplicate_keys, orphans, with_match
+from martforge.operators.joins import count_rows, duplicate_keys, orphans, sized_broadcast, with_match
 from martforge.plans.marts import distinct_counts
 from martforge.schemas import REQUIRED, TOTAL
 
@@ -62,7 +62,7 @@ def _dup(table: str, keys: list[str], unlike: bool = False):
 def _order_before_signup(t: Tables) -> DataFrame:
     o, c = t["stg_orders"], t["stg_customers"]
     j = (o.select("customer_id", "order_date")
-          .join(c.select("customer_id", "signup_date"), "customer_id")
+          .join(sized_broadcast(c.select("customer_id", "signup_date"), size_of=c), "customer_id")
           .where(F.col("order_date") < F.col("signup_date")))
     return count_rows(j)
 
@@ -70,7 +70,7 @@ def _order_before_signup(t: Tables) -> DataFrame:
 def _price_mismatch(t: Tables) -> DataFrame:
     i, p = t["stg_order_items"], t["stg_products"]
     j = (i.select("product_id", "unit_price")
-          .join(p.select("product_id", "price"), "product_id")
+          .join(sized_broadcast(p.select("product_id", "price"), size_of=p), "product_id")
           .where(F.col("price").isNotNull() & (F.col("unit_price") != F.col("price"))))
     return count_rows(j)
 

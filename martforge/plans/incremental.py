@@ -107,5 +107,6 @@ def fact_versions(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame,
 def revenue_by_city_then(fact: DataFrame, versions: DataFrame) -> DataFrame:
     """Sales by the city that customers lived in on the day of the order (``fact`` of ``fact_versions``)."""
     per = fact.groupBy("customer_version_key").agg(F.sum("sales_amount").alias("sales"), F.sum("quantity").alias("quantity"))
-    return (per.join(versions.select("customer_version_key", "city"), "customer_version_key", "left").groupBy("city")
+    cities = sized_broadcast(versions.select("customer_version_key", "city"), size_of=versions)
+    return (per.join(cities, "customer_version_key", "left").groupBy("city")
             .agg(to_total(F.sum("sales")).alias("total_sales"), F.sum("quantity").cast("bigint").alias("total_quantity")))

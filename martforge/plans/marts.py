@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.expr import safe_ratio, to_total
 from martforge.operators.combine import side_by_side
-from martforge.operators.joins import fits_broadcast, sized_broadcast
+from martforge.operators.joins import broadcast_limit, fits_broadcast, shuffled, sized_broadcast
 
 
 def _sales() -> Column:
@@ -66,7 +66,7 @@ def additive_by(fact: DataFrame, dim: DataFrame, key: str, attrs: list[str]) ->
         return joined.groupBy(*attrs).agg(_sales(), _qty())
     per_key = fact.groupBy(key).agg(F.sum("sales_amount").alias("sales_amount"),
                                     F.sum("quantity").alias("quantity"))
-    return per_key.join(lookup, key).groupBy(*attrs).agg(_sales(), _qty())
+    return per_key.join(shuffled(lookup), key).groupBy(*attrs).agg(_sales(), _qty())
 
 
 def revenue_by_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def _by_customer(fact: DataFrame, dim_customer: DataFrame, attr: str) -> DataFra
     multiplied.
     """
     per = fact.groupBy("customer_key", "order_id").agg(F.sum("sales_amount").alias("sales_amount"))
-    per = per.join(dim_customer.select("customer_key", attr), "customer_key")
+    per = per.join(sized_broadcast(dim_customer.select("customer_key", attr), size_of=dim_customer), "customer_key")
     none = F.lit(None).cast("decimal(24,2)")
     each = F.inline(F.array(F.struct(F.lit(True).alias("is_order"), F.col("order_id").alias("id"), "sales_amount"),
                             F.struct(F.lit(False).alias("is_order"), F.col("customer_key").alias("id"),
@@ -132,7 +132,10 @@ def customer_acquisition(dim_customer: DataFrame) -> DataFrame:
 
 def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
     per = fact.groupBy("product_key").agg(_sales(), _qty())
-    top = (per.join(dim_product.select("product_key", "product_id", "product_name", "category"), "product_key")
+    # rows with names are several times as large as the pairs of keys that the limit is meant for
+    names = sized_broadcast(dim_product.select("product_key", "product_id", "product_name", "category"),
+                            broadcast_limit(dim_product) // 8, size_of=dim_product)
+    top = (per.join(names, "product_key")
               .orderBy(F.col("total_sales").desc(), F.col("product_id").asc())
               .limit(k))
     rank = F.row_number().over(Window.orderBy(F.col("total_sales").desc(), F.col("product_id").asc()))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.expr import line_amount, to_total
 from martforge.operators.combine import side_by_side
+from martforge.operators.joins import sized_broadcast
 from martforge.operators.unpivot import unpivot_rows
 from martforge.plans.staging import Staging
 from martforge.schemas import TOTAL
@@ -25,11 +26,12 @@ def valid_source_lines(stg: Staging, dim_customer: DataFrame, dim_product: DataF
     lines, so that lines are shuffled for their order and product only.
     """
     items = stg.order_items.where(F.col("quantity") > 0).select("order_id", "product_id", "quantity", "unit_price")
+    customers = sized_broadcast(dim_customer.select("customer_id"), size_of=dim_customer)
+    days = sized_broadcast(dim_date.select(F.col("full_date").alias("order_date")), size_of=dim_date)
+    products = sized_broadcast(dim_product.select("product_id"), size_of=dim_product)
     orders = (stg.orders.select("order_id", "customer_id", "order_date")
-              .join(dim_customer.select("customer_id"), "customer_id")
-              .join(dim_date.select(F.col("full_date").alias("order_date")), "order_date")
-              .select("order_id"))
-    return items.join(dim_product.select("product_id"), "product_id").join(orders, "order_id")
+              .join(customers, "customer_id").join(days, "order_date").select("order_id"))
+    return items.join(products, "product_id").join(orders, "order_id")
 
 
 def source_totals(stg: Staging, dim_customer: DataFrame, dim_product: DataFrame,

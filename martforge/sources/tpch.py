@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.operators.inject import COPY_NO, append_copies, null_where, replace_where
+from martforge.operators.joins import sized_broadcast
 from martforge.schemas import PRICE
 
 # Fixed values of the derived fixture (they define the test data).
@@ -73,7 +74,7 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    rows = li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+    rows = li.join(sized_broadcast(p), F.col("l_partkey") == F.col("p_partkey"))
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
     q_hash = ok * 3 + pk
     quantity = (F.when(q_hash % 220 == 1, F.lit(0))
