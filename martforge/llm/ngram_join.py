@@ -19,6 +19,7 @@ fixed size over the whole corpus) and break ties by three independent hashes.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from martforge.llm import materialize, python_tasks
 from martforge.llm.graph import connected_components
 from martforge.llm.rounds import linked_in_rounds, near
-from martforge.llm.shingles import WordHashes, as_long, batches_of, mixed, shingle_set
+from martforge.llm.shingles import batches_of, mixed, shingle_sets, slices
 
 #: Counters of the sketch; 8 MB.
 SKETCH_BITS = 21
@@ -43,32 +44,44 @@ def required(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
+def _longs(x: list[int]) -> pa.Array:
+    return pa.array(np.array(x, np.uint64).view(np.int64), pa.int64())
+
+
 def _counting(k: int, seed: int):
     """Task of the first pass: a row for each document, and the task's counts in blocks."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("other", pa.int64()),
                         ("block", pa.int32()), ("counts", pa.binary())])
 
     def task(batches):
-        hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
-
-        def rows():
-            for batch in batches:
-                for doc_id, text, text_key in zip(*(batch.column(c) for c in ("doc_id", "text", "text_key"))):
-                    s = shingle_set(text.as_py(), k, hashes)
-                    if len(s):
-                        np.add.at(counts, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-                    yield {"doc_id": doc_id.as_py(), "text_key": text_key.as_py(), "n": len(s),
-                           "cls": as_long(xxhash.xxh64_intdigest(s.tobytes(), seed)),
-                           "other": as_long(xxhash.xxh64_intdigest(s.tobytes(), seed + 1000))}
-            for i, part in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)):
-                if part.any():
-                    yield {"block": i, "counts": zlib.compress(part.astype("<u4").tobytes(), 1)}
-
-        yield from batches_of(rows(), schema)
+        counts, held, size = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
+        for batch in batches:
+            doc_id, text, text_key = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text", "text_key"))
+            for lo, hi in slices(text):
+                sets = shingle_sets(text.slice(lo, hi - lo), k)
+                held += sets
+                size += sum(map(len, sets))
+                if size >= 1 << (SKETCH_BITS - 1):
+                    counts, held, size = _counted(counts, held), [], 0
+                yield pa.RecordBatch.from_arrays([
+                    doc_id.slice(lo, hi - lo), text_key.slice(lo, hi - lo), pa.array(list(map(len, sets)), pa.int64()),
+                    _longs([xxhash.xxh64_intdigest(s, seed) for s in sets]),
+                    _longs([xxhash.xxh64_intdigest(s, seed + 1000) for s in sets]),
+                    pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], schema=schema)
+        counts = np.minimum(_counted(counts, held), (1 << 32) - 1)
+        yield from batches_of(({"block": i, "counts": zlib.compress(part.astype("<u4").tobytes(), 1)}
+                               for i, part in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)) if part.any()), schema)
 
     return task
 
 
+def _counted(counts: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    if not sets:
+        return counts
+    places = (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+    return counts + np.bincount(places, minlength=len(counts))
+
+
 def _summing(batches):
     """Sums the blocks that meet in a partition, as they come."""
     total: dict[int, np.ndarray] = {}
@@ -88,17 +101,24 @@ def sketch_of(parts) -> np.ndarray:
     return counts
 
 
-def prefix(s: np.ndarray, sketch: np.ndarray, order: int, num: int, den: int) -> np.ndarray:
-    """The shingles that come first under an order; ties of its keys fall to the smaller shingle.
+def prefixes(sets: list[np.ndarray], sketch: np.ndarray, num: int, den: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The shingles of each set (none empty) that come first under each order; of ties at its end, all.
 
     The first order follows the counts themselves, so that what a text has for itself comes first; the others follow
     half powers of two of the counts, so that their hashes can tell.
     """
-    length = len(s) - required(len(s), num, den) + 1
-    count = sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-    rank = count.astype(np.uint64) if order == 0 else (2 * np.log2(count + 1.0)).astype(np.uint64)
-    key = (rank << np.uint64(32)) | (mixed(s ^ np.uint64(ORDER_SEEDS[order])) >> np.uint64(32))
-    return s[np.argsort(key, kind="stable")[:length]]
+    every = np.concatenate(sets)
+    count = sketch[(every >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+    half = (2 * np.log2(count + 1.0)).astype(np.uint64) << np.uint64(32)
+    keys = [rank | (mixed(every ^ np.uint64(seed)) >> np.uint64(32))
+            for rank, seed in zip((count.astype(np.uint64) << np.uint64(32), half, half), ORDER_SEEDS)]
+    out, at = [], 0
+    for s in sets:
+        last = len(s) - required(len(s), num, den)
+        own = [key[at:at + len(s)] for key in keys]
+        out.append(tuple(s[key <= np.partition(key, last)[last]] for key in own))
+        at += len(s)
+    return out
 
 
 def fingerprints(s: np.ndarray) -> bytes:
@@ -110,28 +130,33 @@ def _prefixes(k: int, seed: int, num: int, den: int, shared):
                         ("second", pa.binary()), ("third", pa.binary())])
 
     def task(batches):
-        hashes, sketch, done = WordHashes(), shared.value, set()
-
-        def rows():
-            for batch in batches:
-                for text in batch.column(0):
-                    s = shingle_set(text.as_py(), k, hashes)
-                    cls = as_long(xxhash.xxh64_intdigest(s.tobytes(), seed))
-                    if not len(s) or cls in done:  # one of equal sets is enough; others meet it again by class
-                        continue
-                    if len(done) < 200_000:
-                        done.add(cls)
-                    yield {"cls": cls, "n": len(s), "tokens": prefix(s, sketch, 0, num, den).astype(np.int64),
-                           "second": fingerprints(prefix(s, sketch, 1, num, den)),
-                           "third": fingerprints(prefix(s, sketch, 2, num, den))}
-
-        yield from batches_of(rows(), schema, 500)
+        sketch, done = shared.value, set()
+        for batch in batches:
+            text = batch.column(0)
+            for lo, hi in slices(text):
+                new = {}
+                for s in shingle_sets(text.slice(lo, hi - lo), k):
+                    cls = xxhash.xxh64_intdigest(s, seed)
+                    if len(s) and cls not in done:  # one of equal sets is enough; others meet it again by class
+                        new[cls] = s
+                if not new:
+                    continue
+                if len(done) < 200_000:
+                    done.update(new)
+                sets = list(new.values())
+                first, second, third = zip(*prefixes(sets, sketch, num, den))
+                ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    _longs(list(new)), pa.array(list(map(len, sets)), pa.int64()),
+                    pa.ListArray.from_arrays(ends, np.concatenate(first).view(np.int64)),
+                    pa.array(map(fingerprints, second), pa.binary()), pa.array(map(fingerprints, third), pa.binary())],
+                    schema=schema)
 
     return task
 
 
 def _shares(a: bytes, b: bytes) -> bool:
-    return bool(np.isin(np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2"), assume_unique=True).any())
+    return not set(memoryview(a).cast("H")).isdisjoint(memoryview(b).cast("H"))
 
 
 def _filtering(batches):
@@ -144,17 +169,24 @@ def _filtering(batches):
 
 
 def _verifying(k: int, num: int, den: int):
+    def sets_of(keys: pa.Array, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The set of each row; those of equal keys are made once."""
+        keys, first, at = np.unique(keys.to_numpy(), return_index=True, return_inverse=True)
+        texts = texts.take(pa.array(first))
+        found = [s for lo, hi in slices(texts) for s in shingle_sets(texts.slice(lo, hi - lo), k)]
+        return (found[i] for i in at.tolist())
+
     def task(batches):
-        hashes, last = WordHashes(), (None, None)
         for batch in batches:
+            a, b, s, t = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "texta", "textb"))
             keep = []
-            for a, s, t in zip(batch.column("a").to_pylist(), batch.column("texta"), batch.column("textb")):
-                if last[0] != a:
-                    last = (a, shingle_set(s.as_py(), k, hashes))
-                y = shingle_set(t.as_py(), k, hashes)
-                shared = len(np.intersect1d(last[1], y, assume_unique=True))
-                keep.append(den * shared >= num * (len(last[1]) + len(y) - shared))
-            yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(keep, pa.bool_()))
+            for lo, hi in slices(t):
+                part = lambda x: x.slice(lo, hi - lo)
+                for x, y in zip(sets_of(part(a), part(s)), sets_of(part(b), part(t))):
+                    both = np.sort(np.concatenate((x, y)))
+                    shared = np.count_nonzero(both[1:] == both[:-1])
+                    keep.append(den * shared >= num * (len(x) + len(y) - shared))
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b}).filter(pa.array(keep, pa.bool_()))
 
     return task
 
