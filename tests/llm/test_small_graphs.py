@@ -41,3 +41,13 @@ def test_few_jobs(spark):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(jobs) <= 10  # by joins: three or more in each of some ten rounds
+
+
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_more_links_join_known_components(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "DRIVER_EDGES", few)
+    all_links = edges("random") + [(500, 501)]
+    known = None
+    for part in (all_links[:100], all_links[100:250], [], all_links[250:]):
+        known = graph.more_components(spark.createDataFrame(part, "a long, b long"), known)
+    assert found(known) == found(graph.connected_components(spark.createDataFrame(all_links, "a long, b long")))
